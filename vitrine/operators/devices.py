@@ -9,9 +9,12 @@ from vitrine.operators.parse import parse_events
 from vitrine.schemas import DIM_DEVICE
 
 
-def device_attributes(events: DataFrame, rules: str = "reference") -> DataFrame:
+def device_attributes(events: DataFrame, rules: str = "reference",
+                      keep: list[str] | None = None) -> DataFrame:
+    """Device columns in their declared types; `keep` carries further input columns along."""
     columns = {"device_id": F.col("device_id"), **classify(F.col("user_agent"), rules)}
-    return events.select([columns[f.name].cast(f.dataType).alias(f.name) for f in DIM_DEVICE.fields])
+    return events.select(*(keep or []), *[
+        columns[f.name].cast(f.dataType).alias(f.name) for f in DIM_DEVICE.fields])
 
 
 def build_dim_device(json_df: DataFrame, rules: str = "reference", distinct: bool = True) -> DataFrame:

@@ -146,28 +146,31 @@ def candidate_tags(tokens: Column) -> Column:
         t["name"].isin("meta", "h1", "title") | t["text"].rlike(f"(?i){words}")))
 
 
-def first_tag(tags: Column, test) -> Column:
-    """The first candidate that passes; NULL when none does."""
-    return F.get(F.filter(tags, test), F.lit(0))
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def by_class(css_class: str):
-    pattern = attribute_test("class", css_class, word=True)
-    return lambda t: t["text"].rlike(pattern)
+def by_name(name: str) -> str:
+    return f"t.name = {quoted(name)}"
 
 
-def by_attribute(name: str):
-    pattern = attribute_test(name)
-    return lambda t: t["text"].rlike(pattern)
+def by_class(css_class: str) -> str:
+    return f"t.text RLIKE {quoted(attribute_test('class', css_class, word=True))}"
 
 
-def by_name(name: str):
-    return lambda t: t["name"] == name
+def by_attribute(name: str) -> str:
+    return f"t.text RLIKE {quoted(attribute_test(name))}"
 
 
-def meta_with(attribute: str, value: str):
-    pattern = attribute_test(attribute, value)
-    return lambda t: (t["name"] == "meta") & t["text"].rlike(pattern)
+def meta_with(attribute: str, value: str) -> str:
+    return f"{by_name('meta')} AND t.text RLIKE {quoted(attribute_test(attribute, value))}"
+
+
+def first_tags(tags: str, tests: list[str]) -> Column:
+    """For each test (SQL over a tag `t`) the first candidate that passes, NULL when none does.
+    One SQL text: a dozen lambdas built call by call take the driver seconds."""
+    picks = [f"get(filter({tags}, t -> {test}), 0)" for test in tests]
+    return F.expr(f"array({', '.join(picks)})")
 
 
 def element_text(tokens: Column, tag: Column) -> Column:
@@ -214,32 +217,42 @@ def extract_product_info(pages: DataFrame, url: str = "url", html: str = "html",
         pages.select(F.col(url).alias("current_url"), F.col(html).alias("_html")), "_html")
     needs_tags = filled(F.col("_html")) & (
         F.col("_ld_name").isNull() | F.col("_ld_price").isNull() | F.col("_ld_description").isNull())
-    tokens, tags = F.col("_tokens"), F.col("_tags")
-    rows = (parsed.withColumn("_tokens", F.when(needs_tags, page_tokens(F.col("_html"))))
-            .withColumn("_tags", candidate_tags(tokens)))
+    tokens = F.col("_tokens")
+    elements = {"h1": by_name("h1"), "title": by_name("title"),
+                **{c: by_class(c) for c in (*PRICE_CLASSES, *DESCRIPTION_CLASSES)},
+                PRICE_ATTRIBUTE: by_attribute(PRICE_ATTRIBUTE)}
+    metas = {"og:title": meta_with("property", "og:title"),
+             "description": meta_with("name", "description"),
+             "og:description": meta_with("property", "og:description")}
 
     def clean(c: Column) -> Column:
         return bind(c, lambda t: F.when(t.isNotNull(), clean_text(t, suffixes)))
 
-    def element(test) -> Column:
-        return clean(bind(first_tag(tags, test), lambda tag: element_text(tokens, tag)))
+    # The picked tags sit in arrays, so that the long text expressions stand in the plan once.
+    rows = (
+        parsed.withColumn("_tokens", F.when(needs_tags, page_tokens(F.col("_html"))))
+        .withColumn("_tags", candidate_tags(tokens))
+        .withColumns({
+            "_elements": F.transform(first_tags("_tags", list(elements.values())),
+                                     lambda tag: clean(element_text(tokens, tag))),
+            "_metas": F.transform(first_tags("_tags", list(metas.values())),
+                                  lambda tag: clean(meta_content(tag))),
+        })
+    )
 
-    def meta(attribute: str, value: str) -> Column:
-        return clean(bind(first_tag(tags, meta_with(attribute, value)), meta_content))
+    def element(name: str) -> Column:
+        return F.get("_elements", F.lit(list(elements).index(name)))
 
-    def unless(c: Column, test) -> Column:
-        return bind(c, lambda t: F.when(~test(t), t))
+    def meta(name: str) -> Column:
+        return F.get("_metas", F.lit(list(metas).index(name)))
 
     # A name that reads 'N/A' counts as missing for the next source.
-    names = [unless(c, lambda t: t == MISSING) for c in (
-        clean(F.col("_ld_name")), meta("property", "og:title"),
-        element(by_name("h1")), element(by_name("title")))]
-    prices = [F.col("_ld_price"), *(
-        unless(element(test), lambda t: ~t.rlike(DIGIT))
-        for test in (*map(by_class, PRICE_CLASSES), by_attribute(PRICE_ATTRIBUTE)))]
-    descriptions = [clean(F.col("_ld_description")),
-                    *(element(by_class(c)) for c in DESCRIPTION_CLASSES),
-                    meta("name", "description"), meta("property", "og:description")]
+    names = [F.nullif(c, F.lit(MISSING)) for c in (
+        clean(F.col("_ld_name")), meta("og:title"), element("h1"), element("title"))]
+    prices = [F.col("_ld_price"), *(F.when(element(n).rlike(DIGIT), element(n))
+                                    for n in (*PRICE_CLASSES, PRICE_ATTRIBUTE))]
+    descriptions = [clean(F.col("_ld_description")), *map(element, DESCRIPTION_CLASSES),
+                    meta("description"), meta("og:description")]
     fetched = filled(F.col("_html"))
 
     def field(c: Column) -> Column:

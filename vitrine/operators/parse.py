@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions.times import event_time
-from vitrine.schemas import CORRUPT, EVENT_FIELDS, event_schema
+from vitrine.schemas import CORRUPT, EVENT_FIELDS, STRING, TIME, event_schema
 
 
 def decode_value(records: DataFrame) -> DataFrame:
@@ -25,16 +25,13 @@ def parse_events(json_df: DataFrame, fields: list[str] | None = None,
     if time_mode not in ("normalised", "reference"):
         raise ValueError(f"unknown time_mode {time_mode!r}")
     wanted = EVENT_FIELDS if fields is None else [f for f in EVENT_FIELDS if f in fields]
-    schema = event_schema(fields, "timestamp" if time_mode == "reference" else "string", corrupt)
+    time_type = TIME if time_mode == "reference" else STRING
     options = {"columnNameOfCorruptRecord": CORRUPT} if corrupt else {}
-    data = F.from_json("json_str", schema, options)
-    parsed = json_df.select(*(["json_str"] if corrupt else []), data.alias("data"))
-    columns = []
-    for name in wanted:
-        column = F.col("data")[name]
-        if name == "time_stamp" and time_mode == "normalised":
-            column = event_time(column)
-        columns.append(column.alias(name))
-    if corrupt:
-        columns = [F.col("json_str"), *columns, F.col("data")[CORRUPT].alias(CORRUPT)]
-    return parsed.select(*columns)
+    data = F.from_json("json_str", event_schema(fields, time_type, corrupt), options)
+    # inline() instead of `data.*`: filters on parsed fields would be pushed below a projection
+    # together with a second copy of from_json; they stay above a generator, and each text is
+    # parsed once.
+    parsed = json_df.select(*(["json_str"] if corrupt else []), F.inline(F.array(data)))
+    if "time_stamp" in wanted and time_mode == "normalised":
+        parsed = parsed.withColumn("time_stamp", event_time(F.col("time_stamp")))
+    return parsed

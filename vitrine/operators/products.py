@@ -21,6 +21,18 @@ def event_order(*tie: Column) -> list[Column]:
             F.col("_id").alias("id"), *tie]
 
 
+def product_rows(events: DataFrame, keep_optionless: bool = False) -> DataFrame:
+    """One row per event with its first diamond and alloy option id.
+
+    Option ids are read from the array in place, so a row is never multiplied before the
+    aggregation.  Events without options are left out unless `keep_optionless`.
+    """
+    rows = events if keep_optionless else events.where(has_options(F.col("option")))
+    return rows.select("product_id", "collection", "time_stamp", "_id",
+                       option_id(F.col("option"), DIAMOND).alias("diamond"),
+                       option_id(F.col("option"), ALLOY).alias("alloy"))
+
+
 def earliest(value: Column) -> Column:
     """Value of the earliest event in which it is not NULL; ties end at the value itself, so the
     survivor never depends on how rows are partitioned."""
@@ -29,17 +41,9 @@ def earliest(value: Column) -> Column:
 
 
 def product_options(events: DataFrame, keep_optionless: bool = False) -> DataFrame:
-    """One row per (product_id, collection) with the earliest diamond and alloy option id.
-
-    Events without options produce no row unless `keep_optionless`.  Option ids are read from the
-    array in place, so a row is never multiplied before the (map-side combined) aggregation.
-    """
-    rows = events if keep_optionless else events.where(has_options(F.col("option")))
-    rows = rows.select("product_id", "collection", "time_stamp", "_id",
-                       option_id(F.col("option"), DIAMOND).alias("diamond"),
-                       option_id(F.col("option"), ALLOY).alias("alloy"))
+    """One row per (product_id, collection) with the earliest diamond and alloy option id."""
     return (
-        rows.groupBy("product_id", "collection")
+        product_rows(events, keep_optionless).groupBy("product_id", "collection")
         .agg(earliest(F.col("diamond")).alias("diamond"), earliest(F.col("alloy")).alias("alloy"))
         .select("product_id", "collection",
                 or_sentinel(F.col("diamond")).alias("diamond_option_id"),
