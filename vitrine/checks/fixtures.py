@@ -125,7 +125,7 @@ FROM {{events}} e"""
 
 # Event texts of which some are broken: cut off, empty, NULL, a list, or with a wrongly typed field.
 DIRTY = """
-SELECT id, CASE CAST(id % 11 AS INT) WHEN 0 THEN substr(json_str, 1, length(json_str) - 1) WHEN 1 THEN ''
+SELECT source_id, CASE CAST(source_id % 11 AS INT) WHEN 0 THEN substr(json_str, 1, length(json_str) - 1) WHEN 1 THEN ''
  WHEN 2 THEN CAST(NULL AS STRING) WHEN 3 THEN '[1, 2]'
  WHEN 4 THEN '{"_id":"x","option":{"option_label":1}}' ELSE json_str END AS json_str
 FROM {lines}"""
@@ -171,5 +171,5 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clicks(spark, sf_dir)
-    lines = rows.selectExpr("CAST(id AS BIGINT) AS id", "to_json(struct(*)) AS json_str")
+    lines = rows.selectExpr("CAST(id AS BIGINT) AS source_id", "to_json(struct(*)) AS json_str")
     return run(spark, DIRTY, lines=lines)

@@ -353,7 +353,7 @@ def segments(spark, sf_dir):
 @query
 def dq_quarantine(spark, sf_dir):
     _, bad = quality.split_events(fx.dirty_lines(spark, sf_dir))
-    return bad
+    return bad.drop("json_str")
 
 
 @query

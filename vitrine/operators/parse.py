@@ -20,7 +20,7 @@ def parse_events(json_df: DataFrame, fields: list[str] | None = None,
     `fields` narrows the schema handed to from_json.  Catalyst prunes a JSON schema only when a
     single field is read, so every builder names what it needs.
     `time_mode="reference"` lets from_json read `time_stamp` as TIMESTAMP (numbers as seconds).
-    `corrupt=True` keeps the input text and adds `_corrupt_record`.
+    `corrupt=True` keeps the input columns and adds `_corrupt_record`.
     """
     if time_mode not in ("normalised", "reference"):
         raise ValueError(f"unknown time_mode {time_mode!r}")
@@ -31,7 +31,7 @@ def parse_events(json_df: DataFrame, fields: list[str] | None = None,
     # inline() instead of `data.*`: filters on parsed fields would be pushed below a projection
     # together with a second copy of from_json; they stay above a generator, and each text is
     # parsed once.
-    parsed = json_df.select(*(["json_str"] if corrupt else []), F.inline(F.array(data)))
+    parsed = json_df.select(*(json_df.columns if corrupt else []), F.inline(F.array(data)))
     if "time_stamp" in wanted and time_mode == "normalised":
         parsed = parsed.withColumn("time_stamp", event_time(F.col("time_stamp")))
     return parsed

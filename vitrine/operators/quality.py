@@ -24,10 +24,10 @@ def checked_events(json_df: DataFrame, fields: list[str] | None = None) -> DataF
 
 
 def split_events(json_df: DataFrame, fields: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good events, quarantined texts with their reason)."""
+    """(good events, quarantined input rows with their reason)."""
     rows = checked_events(json_df, fields)
-    good = rows.where(F.col("reason").isNull()).drop("json_str", CORRUPT, "reason")
-    return good, rows.where(F.col("reason").isNotNull()).select("json_str", "reason")
+    good = rows.where(F.col("reason").isNull()).drop(CORRUPT, "reason", *json_df.columns)
+    return good, rows.where(F.col("reason").isNotNull()).select(*json_df.columns, "reason")
 
 
 def profile(df: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
