@@ -61,9 +61,11 @@ def build_dim_currency(json_df: DataFrame, spark: SparkSession | None = None,
 
 def prices_in_usd(product_info: DataFrame, reference: DataFrame) -> DataFrame:
     """Price text split into amount and currency, matched once (`best`) and converted."""
-    rows = product_info.select(
-        "current_url", "price", price_amount(F.col("price")).alias("amount"),
-        price_currency(F.col("price")).alias("raw_currency"))
+    # A generator ends the lineage of the join key: tracing it through the page-extraction
+    # expressions would cost the optimiser seconds.
+    parts = F.struct(price_amount(F.col("price")).alias("amount"),
+                     price_currency(F.col("price")).alias("raw_currency"))
+    rows = product_info.select("current_url", "price", F.inline(F.array(parts)))
     matched = match_currency(rows, "raw_currency", reference, "best")
     return matched.select("current_url", "price", "amount", "currency_code",
                           to_usd(F.col("amount"), F.col("usd_exchange_rate")).alias("amount_usd"))

@@ -85,11 +85,15 @@ def build_fact_event(json_df: DataFrame, columns: list[str] | None = None,
     return fact_event(parse_events(json_df, fields, time_mode), wanted)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "append", shuffle: bool = True) -> None:
-    """Parquet partitioned by date.  Rows are spread over (date, device hash) first, so a date
-    with most of the rows is still written by many tasks, each touching few dates."""
-    if shuffle:
-        fact = fact.repartition("date_id", F.pmod(F.xxhash64("event_id"), F.lit(64)))
+def write_fact(fact: DataFrame, path: str, mode: str = "append", rebalance: bool = True) -> None:
+    """Parquet partitioned by date.
+
+    The rebalance hint groups rows by date so that a task writes few files, and lets AQE split a
+    date that holds most of the rows into parts of the advisory size.  Input that arrives in time
+    order does without (`rebalance=False`), which saves the shuffle.
+    """
+    if rebalance:
+        fact = fact.hint("rebalance", "date_id")
     fact.write.mode(mode).partitionBy("date_id").parquet(path)
 
 
