@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+NUMBER = r"^[0-9]+(\.[0-9]+)?([eE]\+?[0-9]{1,2})?$"
+
+
 def event_time(raw: Column) -> Column:
-    """Text to TIMESTAMP: 12 to 15 digits are epoch milliseconds, fewer are epoch seconds (a
-    fraction is allowed), anything else is tried as an ISO time.  Unreadable text gives NULL."""
+    """Text to TIMESTAMP: a number of 12 to 15 digits is epoch milliseconds, a smaller one is epoch
+    seconds, anything else is tried as an ISO time.  Unreadable text gives NULL."""
     text = F.trim(raw)
+    # JSON numbers with a fraction arrive in scientific notation.
+    number = text.try_cast("decimal(38,6)")
     return (
-        F.when(text.rlike(r"^[0-9]{12,15}$"), F.timestamp_millis(text.try_cast("bigint")))
-        .when(text.rlike(r"^[0-9]{1,11}(\.[0-9]+)?$"),
-              F.timestamp_seconds(text.try_cast("decimal(17,6)")))
-        .when(text.rlike(r"^[0-9]+$"), F.lit(None).cast("timestamp"))
-        .otherwise(text.try_cast("timestamp"))
+        F.when(~text.rlike(NUMBER), text.try_cast("timestamp"))
+        .when(number < 10 ** 11, F.timestamp_seconds(number.try_cast("decimal(17,6)")))
+        .when(number < 10 ** 15, F.timestamp_millis(number.try_cast("bigint")))
     )
 
 

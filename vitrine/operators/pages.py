@@ -40,10 +40,13 @@ def attribute_test(name: str, value: str | None = None, word: bool = False) -> s
     """Pattern for an open tag holding an attribute: with any value, with this exact value, or with
     this word among the space-separated words of its value.
 
-    The part before the name steps over whole quoted values, so `name=` inside another value does
-    not count; it backtracks one attribute at a time.
+    The part before the name steps over whole attributes, so `name=` inside another value does not
+    count.
     """
-    lead = r"^<[a-zA-Z][^\s>/]*+(?:[\s/]++(?!" + name + r"[\s=>/])[^\s=>/\"']++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"']++))?+)*+[\s/]++(?i:" + name + ")"
+    named = f"(?i:{name})"
+    other = (rf"(?!{named}[\s=>/])[^\s=>/\"']++"
+             r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"']++))?+")
+    lead = rf"^<[a-zA-Z][^\s>/]*+(?:[\s/]++{other})*+[\s/]++{named}"
     if value is None:
         return r"(?s)" + lead + r"(?:[\s=>/]|$)"
     if word:

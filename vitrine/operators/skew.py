@@ -23,7 +23,7 @@ def heavy_from_counts(counts: DataFrame, key: str, n: str, share: float = SHARE,
 
     The pieces add up to at most `2 / share` over all heavy keys.
     """
-    limit = F.greatest(F.lit(float(floor)),
+    limit = F.greatest(F.lit(float(max(floor, 1))),
                        counts.agg(F.sum(n).alias("total")).scalar() * F.lit(share))
     return (counts.where(F.col(n) > limit)
             .select(key, F.ceil(F.col(n) / limit).cast("int").alias("_pieces")))
