@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.sources.files import to_json_lines
+from vitrine.sources.files import spread, to_json_lines
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -34,12 +34,13 @@ def _cycle(selector: str, values: list[str | None]) -> str:
 
 def clicks_sql(duck: bool) -> str:
     """The 19 event columns from `events` and `customer`."""
+    k = "e.k"
     if duck:
-        k = "json_extract_string(e.props, '$.k')"
+        k_of = "json_extract_string(props, '$.k')"
         time = "date_trunc('millisecond', e.ts)"
         local = "strftime(e.ts, '%Y-%m-%d %H:%M:%S')"
     else:
-        k = "get_json_object(e.props, '$.k')"
+        k_of = "get_json_object(props, '$.k')"
         time = "CAST(date_trunc('MILLISECOND', e.ts) AS TIMESTAMP)"
         local = "date_format(e.ts, 'yyyy-MM-dd HH:mm:ss')"
     number = f"CAST({k} AS INT)"
@@ -91,7 +92,7 @@ SELECT concat('e', CAST(e.event_id AS STRING)) AS _id,
  CASE WHEN e.event_id % 5 = 0 THEN {none} WHEN e.event_id % 5 = 1 THEN NULL ELSE {full} END AS option,
  CAST(e.event_id AS STRING) AS id,
  {currency} AS currency
-FROM {{events}} e JOIN {{customer}} c ON c.c_custkey = e.user_id"""
+FROM (SELECT *, {k_of} AS k FROM {{events}}) e JOIN {{customer}} c ON c.c_custkey = e.user_id"""
 
 
 # Snippets put into each page's own head and body, by page_id % 4; the same text in both dialects.
@@ -144,7 +145,9 @@ def run(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
 
 
 def clicks(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    return run(spark, clicks_sql(False), events=table(spark, sf_dir, "events") if events is None else events,
+    if events is None:
+        events = spread(table(spark, sf_dir, "events"))
+    return run(spark, clicks_sql(False), events=events,
                customer=table(spark, sf_dir, "customer"))
 
 
@@ -162,11 +165,11 @@ def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, PRODUCT_PAGES, pages=table(spark, sf_dir, "pages"))
+    return run(spark, PRODUCT_PAGES, pages=spread(table(spark, sf_dir, "pages")))
 
 
 def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, versions_sql(False), events=table(spark, sf_dir, "events"))
+    return run(spark, versions_sql(False), events=spread(table(spark, sf_dir, "events")))
 
 
 def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from vitrine.plans import products as product_plans
 from vitrine.schemas import EVENT_FIELDS
 from vitrine.session import work_dir
 from vitrine.sources.currency_list import currency_list
-from vitrine.sources.files import product_urls
+from vitrine.sources.files import product_urls, spread
 from vitrine.streaming import jobs, sinks, upsert
 
 # Suffixes of the shop in the page fixtures, tried in this order.
@@ -193,7 +193,7 @@ def product_info(spark, sf_dir):
 
 @query
 def product_info_given_pages(spark, sf_dir):
-    return pages.extract_product_info(fx.table(spark, sf_dir, "pages"))
+    return pages.extract_product_info(spread(fx.table(spark, sf_dir, "pages")))
 
 
 @query

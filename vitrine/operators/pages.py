@@ -10,6 +10,8 @@ balance are read as text.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions.text import bind, clean_text, decode_entities, filled
@@ -199,28 +201,13 @@ def meta_content(tag: Column) -> Column:
                                                  decode_entities), F.lit("")))
 
 
-def with_json_ld(pages: DataFrame, html: str) -> DataFrame:
-    """Add the name, price and description found in JSON-LD (NULL where there is none)."""
-    product = json_ld_product(json_ld_scripts(F.col(html)))
-    return pages.withColumn("_ld", product).withColumns({
-        "_ld_name": truthy(F.col("_ld"), "$.name"),
-        "_ld_price": json_ld_price(F.col("_ld")),
-        "_ld_description": truthy(F.col("_ld"), "$.description"),
-    }).drop("_ld")
-
-
-def extract_product_info(pages: DataFrame, url: str = "url", html: str = "html",
-                         suffixes: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """pages(url, html) to product_name, price, description, current_url and error.
+@lru_cache(maxsize=16)
+def _steps(application: str, suffixes: tuple[str, ...]) -> tuple[list[dict[str, Column]], dict[str, Column]]:
+    """Helper columns, step by step, and the output columns, over `current_url` and `_html`.
 
-    Each field falls through its sources in order and ends at 'N/A'; a page without html gives
-    'N/A' everywhere and an error.  Tags are only tokenised where JSON-LD leaves a field open.
+    The expressions name columns only, so they are built once per application and suffix list.
     """
-    parsed = with_json_ld(
-        pages.select(F.col(url).alias("current_url"), F.col(html).alias("_html")), "_html")
-    needs_tags = filled(F.col("_html")) & (
-        F.col("_ld_name").isNull() | F.col("_ld_price").isNull() | F.col("_ld_description").isNull())
-    tokens = F.col("_tokens")
+    html, ld, tokens = F.col("_html"), F.col("_ld"), F.col("_tokens")
     elements = {"h1": by_name("h1"), "title": by_name("title"),
                 **{c: by_class(c) for c in (*PRICE_CLASSES, *DESCRIPTION_CLASSES)},
                 PRICE_ATTRIBUTE: by_attribute(PRICE_ATTRIBUTE)}
@@ -231,17 +218,19 @@ def extract_product_info(pages: DataFrame, url: str = "url", html: str = "html",
     def clean(c: Column) -> Column:
         return bind(c, lambda t: F.when(t.isNotNull(), clean_text(t, suffixes)))
 
-    # The picked tags sit in arrays, so that the long text expressions stand in the plan once.
-    rows = (
-        parsed.withColumn("_tokens", F.when(needs_tags, page_tokens(F.col("_html"))))
-        .withColumn("_tags", candidate_tags(tokens))
-        .withColumns({
-            "_elements": F.transform(first_tags("_tags", list(elements.values())),
-                                     lambda tag: clean(element_text(tokens, tag))),
-            "_metas": F.transform(first_tags("_tags", list(metas.values())),
-                                  lambda tag: clean(meta_content(tag))),
-        })
-    )
+    found = ["_ld_name", "_ld_price", "_ld_description"]
+    needs_tags = filled(html) & F.array_contains(F.array(*[F.col(c).isNull() for c in found]), True)
+    steps = [
+        {"_ld": json_ld_product(json_ld_scripts(html))},
+        dict(zip(found, (truthy(ld, "$.name"), json_ld_price(ld), truthy(ld, "$.description")))),
+        {"_tokens": F.when(needs_tags, page_tokens(html))},
+        {"_tags": candidate_tags(tokens)},
+        # The picked tags sit in arrays, so that the long text expressions stand in the plan once.
+        {"_elements": F.transform(first_tags("_tags", list(elements.values())),
+                                  lambda tag: clean(element_text(tokens, tag))),
+         "_metas": F.transform(first_tags("_tags", list(metas.values())),
+                               lambda tag: clean(meta_content(tag)))},
+    ]
 
     def element(name: str) -> Column:
         return F.get("_elements", F.lit(list(elements).index(name)))
@@ -249,25 +238,35 @@ def extract_product_info(pages: DataFrame, url: str = "url", html: str = "html",
     def meta(name: str) -> Column:
         return F.get("_metas", F.lit(list(metas).index(name)))
 
-    # A name that reads 'N/A' counts as missing for the next source.
-    names = [F.nullif(c, F.lit(MISSING)) for c in (
-        clean(F.col("_ld_name")), meta("og:title"), element("h1"), element("title"))]
-    prices = [F.col("_ld_price"), *(F.when(element(n).rlike(DIGIT), element(n))
-                                    for n in (*PRICE_CLASSES, PRICE_ATTRIBUTE))]
-    descriptions = [clean(F.col("_ld_description")), *map(element, DESCRIPTION_CLASSES),
-                    meta("description"), meta("og:description")]
-    fetched = filled(F.col("_html"))
-
-    def field(c: Column) -> Column:
-        return F.when(fetched, F.coalesce(c, F.lit(MISSING))).otherwise(F.lit(MISSING))
-
-    return rows.select(
-        field(F.coalesce(*names)).alias("product_name"),
-        field(F.coalesce(*prices)).alias("price"),
-        field(F.coalesce(*descriptions)).alias("description"),
-        "current_url",
-        F.when(~fetched, F.lit(FETCH_FAILED)).alias("error"),
-    )
+    def field(sources: list[Column]) -> Column:
+        return F.when(filled(html), F.coalesce(*sources, F.lit(MISSING))).otherwise(F.lit(MISSING))
+
+    output = {
+        # A name that reads 'N/A' counts as missing for the next source.
+        "product_name": field([F.nullif(c, F.lit(MISSING)) for c in (
+            clean(F.col("_ld_name")), meta("og:title"), element("h1"), element("title"))]),
+        "price": field([F.col("_ld_price"), *(F.when(element(n).rlike(DIGIT), element(n))
+                                              for n in (*PRICE_CLASSES, PRICE_ATTRIBUTE))]),
+        "description": field([clean(F.col("_ld_description")), *map(element, DESCRIPTION_CLASSES),
+                              meta("description"), meta("og:description")]),
+        "current_url": F.col("current_url"),
+        "error": F.when(~filled(html), F.lit(FETCH_FAILED)),
+    }
+    return steps, output
+
+
+def extract_product_info(pages: DataFrame, url: str = "url", html: str = "html",
+                         suffixes: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """pages(url, html) to product_name, price, description, current_url and error.
+
+    Each field falls through its sources in order and ends at 'N/A'; a page without html gives
+    'N/A' everywhere and an error.  Tags are only tokenised where JSON-LD leaves a field open.
+    """
+    steps, output = _steps(pages.sparkSession.sparkContext.applicationId, tuple(suffixes))
+    rows = pages.select(F.col(url).alias("current_url"), F.col(html).alias("_html"))
+    for columns in steps:
+        rows = rows.withColumns(columns)
+    return rows.select([c.alias(name) for name, c in output.items()])
 
 
 def crawl_outcome(product_info: DataFrame) -> DataFrame:
