@@ -21,7 +21,8 @@ def merge_product_final(dim_product: DataFrame, dim_prd: DataFrame, product_info
     Known products are removed first: an anti join narrows everything after it.
     """
     if existing is not None:
-        dim_product = dim_product.join(existing.select("product_id"), "product_id", "left_anti")
+        dim_product = dim_product.join(existing.select("product_id").distinct(), "product_id",
+                                       "left_anti")
     if mode == "latest":
         dim_product, pages = _one_per_product(dim_product, dim_prd, product_info)
         joined = dim_product.join(pages, "product_id")
@@ -52,6 +53,6 @@ def _one_per_product(dim_product: DataFrame, dim_prd: DataFrame,
     return options, pages
 
 
-def append_missing(spark_rows: DataFrame, path: str) -> None:
+def append_missing(rows: DataFrame, path: str) -> None:
     """Append merge output to the final table; rerunning the merge then finds nothing new."""
-    spark_rows.write.mode("append").parquet(path)
+    rows.write.mode("append").parquet(path)

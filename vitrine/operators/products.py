@@ -76,5 +76,6 @@ def crawl_worklist(dim_prd: DataFrame, product_info: DataFrame | None = None) ->
     todo = (dim_prd.where(filled(F.col("current_url")))
             .select("product_id", "current_url").distinct())
     if product_info is not None:
-        todo = todo.join(product_info.select("current_url"), "current_url", "left_anti")
+        # Reruns may have stored a page many times; one row per page is enough to exclude it.
+        todo = todo.join(product_info.select("current_url").distinct(), "current_url", "left_anti")
     return todo.select("product_id", "current_url").orderBy("product_id", "current_url")

@@ -56,7 +56,7 @@ def reference_gaps(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]])
     for name, (dim, fact_key, dim_key) in dims.items():
         per_key = (fact.where(F.col(fact_key).isNotNull()).groupBy(F.col(fact_key).alias("k"))
                    .agg(F.count(F.lit(1)).alias("n")))
-        gaps = per_key.join(dim.select(F.col(dim_key).alias("k")), "k", "left_anti").agg(
+        gaps = per_key.join(dim.select(F.col(dim_key).alias("k")).distinct(), "k", "left_anti").agg(
             F.lit(name).alias("dimension"), F.count(F.lit(1)).alias("missing_keys"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
         out = gaps if out is None else out.unionByName(gaps)

@@ -18,6 +18,7 @@ from vitrine.operators.parse import parse_events
 from vitrine.operators.products import build_dim_prd, build_dim_product
 from vitrine.operators.quality import audit_rows
 from vitrine.plans.measures import is_view, rows
+from vitrine.sources.files import spread
 from vitrine.streaming.sinks import Writer, start_stream
 from vitrine.streaming.upsert import compact, read_current, write_delta
 
@@ -51,7 +52,7 @@ def warehouse_writer(root: str, names: list[str], audit: bool = True) -> Writer:
     fields = needed_fields(names)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = parse_events(batch, fields).persist(StorageLevel.MEMORY_AND_DISK)
+        events = parse_events(spread(batch), fields).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             def store(name: str) -> None:
                 write_delta(TABLES[name].reduce(events), f"{root}/{name}", batch_id)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vitrine.sources.jdbc import append_jdbc
+
 Writer = Callable[[DataFrame, int], None]
 
 MODES = ("append", "update", "complete")
@@ -42,11 +44,18 @@ def start_stream(df: DataFrame, write: Writer, checkpoint: str, output_mode: str
     return writer.start()
 
 
-def to_jdbc(**settings) -> Writer:
-    """Append each micro-batch to a database table."""
-    from vitrine.sources.jdbc import append_jdbc
+def to_jdbc(batch_column: str | None = None, **settings) -> Writer:
+    """Append each micro-batch to a database table.
+
+    An append is repeated when a batch is retried; with `batch_column` every row carries its batch
+    id, by which the database can tell repeated rows.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_column:
+            batch = batch.withColumn(batch_column, F.lit(batch_id).cast("bigint"))
+        append_jdbc(batch, **settings)
 
-    return lambda batch, batch_id: append_jdbc(batch, **settings)
+    return write
 
 
 def wait_for_all(queries: list[StreamingQuery]) -> None:
