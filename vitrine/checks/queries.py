@@ -157,15 +157,17 @@ def fact_event(spark, sf_dir):
 @query
 def star_join(spark, sf_dir):
     """Events per calendar month, browser and product options, through surrogate keys."""
-    raw = lines(spark, sf_dir)
-    events = parse_events(raw, ["device_id", "user_agent"]).distinct()
-    device = facts.with_key(events, "device_key", ["device_id", "user_agent"])
-    device = devices.device_attributes(device, keep=["device_key"]).select("device_key", "browser")
-    product = facts.with_key(products.build_dim_product(raw), "product_key", ["product_id", "collection"])
-    calendar = dates.build_dim_date(raw, "drop").select("date_id", "month_name")
+    stored = fact(spark, sf_dir)
+    agents = stored.select("device_id", "user_agent").distinct()
+    device = devices.device_attributes(
+        facts.with_key(agents, "device_key", ["device_id", "user_agent"]), keep=["device_key"])
+    product = facts.with_key(products.build_dim_product(lines(spark, sf_dir)), "product_key",
+                             ["product_id", "collection"])
+    days = stored.select(F.col("event_date").alias("date")).distinct()
+    calendar = dates.date_attributes(days).select("date_id", "month_name")
     joined = facts.star_join(
-        fact(spark, sf_dir).select("date_id", "device_key", "product_key"),
-        {"date_id": calendar, "device_key": device,
+        stored.select("date_id", "device_key", "product_key"),
+        {"date_id": calendar, "device_key": device.select("device_key", "browser"),
          "product_key": product.select("product_key", "diamond_option_id", "alloy_option_id")})
     return (joined.groupBy("month_name", "browser", "diamond_option_id", "alloy_option_id")
             .agg(F.count(F.lit(1)).alias("events")))
