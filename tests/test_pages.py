@@ -38,6 +38,7 @@ CASES = [
     # names
     ('<meta content="OG &quot;T&quot; | SHOP.de | SHOP" property="og:title"><h1>no</h1>', 'OG "T" | SHOP.de', "N/A", "N/A"),
     ('<meta property="og:title" content=""><h1 id=a>Head <i>it</i>&amp;&#8364;</h1>', "Head it&€", "N/A", "N/A"),
+    ('<meta property="og:title" title="a content=b" content="right">', "right", "N/A", "N/A"),
     ("<h1></h1><title>t</title>", "", "N/A", "N/A"),
     ("<h1>N/A</h1><title>t</title>", "t", "N/A", "N/A"),
     ("<!-- <h1>no</h1> --><style>h1{}</style><script>'<h1>no</h1>'</script><title>\n T - SHOP </title>", "T", "N/A", "N/A"),

@@ -49,6 +49,8 @@ def test_analytics_read_only_their_columns_of_the_stored_fact(spark):
 def test_fact_dates_prune_partitions(spark, lines, tmp_path):
     path = str(tmp_path / "fact")
     write_fact(build_fact_event(lines, ["event_id", "date_id"]), path)
+    write_fact(build_fact_event(lines, ["event_id", "date_id"]).where("date_id = 20240105"), path, "overwrite")
+    assert spark.read.parquet(path).count() == lines.count()
     df = spark.read.parquet(path).where(F.col("date_id") == 20240105)
     assert "PartitionFilters: [isnotnull(date_id" in plan(df)
     assert 0 < df.count() < spark.read.parquet(path).count()

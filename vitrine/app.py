@@ -50,7 +50,8 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def fact(spark: SparkSession, args: argparse.Namespace) -> None:
     """Event text files to the fact table."""
-    write_fact(build_fact_event(read_json_lines(spark, args.lines)), f"{args.root}/fact_event")
+    write_fact(build_fact_event(read_json_lines(spark, args.lines)), f"{args.root}/fact_event",
+               mode="overwrite" if args.replace_dates else "append")
 
 
 def worklist(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -103,6 +104,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--every", default="10 seconds")
     parsers["fact"].add_argument("--lines", required=True, help="text files, one event per line")
+    parsers["fact"].add_argument("--replace-dates", action="store_true",
+                                 help="replace the dates that occur in the files instead of appending")
     parsers["extract"].add_argument("--pages", required=True, help="parquet table with url and html")
     parsers["extract"].add_argument("--suffix", action="append", default=[], help="title suffix to strip, in order")
     parsers["merge"].add_argument("--mode", choices=["all", "latest"], default="all")

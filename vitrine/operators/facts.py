@@ -90,11 +90,13 @@ def write_fact(fact: DataFrame, path: str, mode: str = "append", rebalance: bool
 
     The rebalance hint groups rows by date so that a task writes few files, and lets AQE split a
     date that holds most of the rows into parts of the advisory size.  Input that arrives in time
-    order does without (`rebalance=False`), which saves the shuffle.
+    order does without (`rebalance=False`), which saves the shuffle.  `mode="overwrite"` replaces
+    only the dates that occur in `fact`, so reloading a whole date is repeatable.
     """
     if rebalance:
         fact = fact.hint("rebalance", "date_id")
-    fact.write.mode(mode).partitionBy("date_id").parquet(path)
+    (fact.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date_id").parquet(path))
 
 
 def dim_store(fact: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ class Mergeable:
 
     def reduce(self, events: DataFrame) -> DataFrame:
         """Keys and states of some events."""
-        return self._group(self.rows(events), {n: (f, c) for n, (f, c) in self.states().items()})
+        return self._group(self.rows(events), self.states())
 
     def combine(self, stored: DataFrame) -> DataFrame:
         """Keys and states of several reduced parts."""

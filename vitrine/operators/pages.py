@@ -38,33 +38,34 @@ TOKEN = rf"(?s)</?[a-zA-Z]{IN_TAG}>|[^<]++|<"
 DIGIT = r"[\p{Nd}\x{00B2}\x{00B3}\x{00B9}\x{2070}-\x{2079}\x{2080}-\x{2089}]"
 
 
-def attribute_test(name: str, value: str | None = None, word: bool = False) -> str:
-    """Pattern for an open tag holding an attribute: with any value, with this exact value, or with
-    this word among the space-separated words of its value.
-
-    The part before the name steps over whole attributes, so `name=` inside another value does not
-    count.
-    """
+def attribute_lead(name: str) -> str:
+    """Pattern for an open tag up to and including an attribute's name.  It steps over whole
+    attributes, so `name=` inside another value does not count."""
     named = f"(?i:{name})"
     other = (rf"(?!{named}[\s=>/])[^\s=>/\"']++"
              r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"']++))?+")
-    lead = rf"^<[a-zA-Z][^\s>/]*+(?:[\s/]++{other})*+[\s/]++{named}"
+    return rf"(?s)^<[a-zA-Z][^\s>/]*+(?:[\s/]++{other})*+[\s/]++{named}"
+
+
+def attribute_test(name: str, value: str | None = None, word: bool = False) -> str:
+    """Pattern for an open tag holding an attribute: with any value, with this exact value, or with
+    this word among the space-separated words of its value."""
+    lead = attribute_lead(name)
     if value is None:
-        return r"(?s)" + lead + r"(?:[\s=>/]|$)"
+        return lead + r"(?:[\s=>/]|$)"
     if word:
         inside = (rf"(?:\"(?:[^\"]*\s)?{value}(?:\s[^\"]*)?\"|'(?:[^']*\s)?{value}(?:\s[^']*)?'"
                   rf"|{value}(?=[\s>]))")
     else:
         inside = rf"(?:\"{value}\"|'{value}'|{value}(?=[\s>/]))"
-    return r"(?s)" + lead + r"\s*=\s*" + inside
+    return lead + r"\s*=\s*" + inside
 
 
 def attribute_value(tag: Column, name: str) -> Column:
     """Value of an attribute of an open tag as written; '' when absent."""
-    quoted = F.regexp_extract(
-        tag, r"(?is)\s" + name + r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", 0)
-    value = F.regexp_replace(quoted, r"(?is)^\s" + name + r"\s*=\s*", "")
-    return F.regexp_replace(value, r"^[\"']|[\"']$", "")
+    start = attribute_lead(name) + r"\s*=\s*"
+    found = F.regexp_extract(tag, start + r"(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)", 0)
+    return F.regexp_replace(F.regexp_replace(found, start, ""), r"^[\"']|[\"']$", "")
 
 
 def json_ld_scripts(html: Column) -> Column:
