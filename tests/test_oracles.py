@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from vitrine.checks.oracles import ORACLES
+from vitrine.checks.queries import QUERIES
 from tests.compare import connect, differences
 from tests.conftest import SF
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
 
 # Approximate by design; its tolerance is tested below.
 WITHOUT_ORACLE = {"penetration_approx"}
@@ -21,6 +21,7 @@ def con():
 def test_every_query_has_an_oracle():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_ORACLE
     assert not set(ORACLES) - set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
