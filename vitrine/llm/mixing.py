@@ -120,9 +120,8 @@ def copies(documents: DataFrame, leaf: int = 2000, fan_in: int = 64, seed: int =
             break
         nodes = pieces(nodes, fan_in)
         level = level.where(open_unit).withColumn("node", F.pmod("node", F.lit(nodes)))
-    last = level.where(open_unit)  # at most one unit of each source: an own coin decides
-    coin = F.pmod(F.xxhash64("id", "mark", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30)
-    done.append(last.withColumn("share", F.when(coin < F.col("share"), 1.0).otherwise(0.0)))
+    last = level.where(open_unit)  # at most one unit of each source goes to its nearer side
+    done.append(last.withColumn("share", F.round("share")))
     every = done[0]
     for part in done[1:]:
         every = every.unionByName(part)

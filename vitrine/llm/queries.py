@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import language_id, lm_score, mixing
+from vitrine.llm import language_id, lm_score, mixing, wavelet
 from vitrine.llm.common import table
 
+# Vocabulary files of public tokenizers lie outside the repository.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,6 +20,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_files(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
@@ -24,6 +32,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op8_lm_scoring, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op6_token_files, op8_lm_scoring, op9_language_id)}
 
 ORACLES: dict[str, str] = {}
