@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import language_id, lm_score, mixing, wavelet
+from vitrine.llm import language_id, lm_score, mixing, sentencepiece_sampling, wavelet
 from vitrine.llm.common import table
 
 # Vocabulary files of public tokenizers lie outside the repository.
@@ -20,6 +20,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_sampling.sample_segmentations(
+        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -32,6 +37,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op6_token_files, op8_lm_scoring, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op4_sentencepiece, op6_token_files, op8_lm_scoring, op9_language_id)}
 
 ORACLES: dict[str, str] = {}
