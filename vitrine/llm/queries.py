@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import language_id, lm_score, mixing, sentencepiece_sampling, wavelet
+from vitrine.llm import embedding_dedup, language_id, lm_score, mixing, permutation_index
+from vitrine.llm import sentencepiece_sampling, wavelet
 from vitrine.llm.common import table
 
 # Vocabulary files of public tokenizers lie outside the repository.
@@ -20,11 +21,19 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_sampling.sample_segmentations(
         table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
@@ -37,6 +46,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op4_sentencepiece, op6_token_files, op8_lm_scoring, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_mixing, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op8_lm_scoring,
+    op9_language_id)}
 
 ORACLES: dict[str, str] = {}
