@@ -53,7 +53,7 @@ def lift(points: np.ndarray, longest: float) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128, posted: int = 8,
-            probed: int = 48, share: float = 0.35, least: int = 512, sample_rows: int = 4096) -> DataFrame:
+            probed: int = 24, share: float = 0.2, least: int = 512, sample_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id and score of the `k` nearest rows of each row with vec_id % every = 0."""
     spark = vectors.sparkSession
     rows = stored(clean(vectors, []).where(F.col("id") > -(1 << 62)), "ann-vectors")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import embedding_dedup, language_id, lm_score, mixing, permutation_index
-from vitrine.llm import sentencepiece_sampling, wavelet
+from vitrine.llm import embedding_dedup, language_id, lm_score, mixing, ngram_join
+from vitrine.llm import permutation_index, sentencepiece_sampling, wavelet
 from vitrine.llm.common import table
 
 # Vocabulary files of public tokenizers lie outside the repository.
@@ -38,6 +38,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_mixing, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op8_lm_scoring,
-    op9_language_id)}
+    op1_mixing, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op7_ngram_join,
+    op8_lm_scoring, op9_language_id)}
 
 ORACLES: dict[str, str] = {}
