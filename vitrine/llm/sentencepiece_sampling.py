@@ -410,7 +410,7 @@ class Sampler:
         return np.concatenate([*parts, ids[done:]]).astype(np.int32)
 
 
-SLICE = 4 << 20  # characters sampled together
+SLICE = 3 << 19  # characters sampled together
 
 
 def sample_segmentations(documents: DataFrame, model: str, k: int = 2, seed: int = 5) -> DataFrame:
