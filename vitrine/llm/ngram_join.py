@@ -59,7 +59,7 @@ class Shingler:
         x = h[:len(h) - n + 1].copy()
         for i in range(1, n):
             x = mixed(x * C1 + h[i:len(h) - n + 1 + i])
-        return np.unique(x if n == self.n else x + C2 * np.uint64(n))
+        return np.unique(x if n == self.n else x + np.uint64(int(C2) * n & 0xFFFFFFFFFFFFFFFF))
 
 
 # --- bands and allocation ------------------------------------------------------------------
@@ -124,7 +124,7 @@ class Bands:
         sums = np.zeros(m, np.uint64)
         np.add.at(sums, segment, value)
         used = np.arange(exact + loose)
-        name = mixed(used.astype(np.uint64) * C1 + np.uint64(band) * C2 + C3)
+        name = mixed(used.astype(np.uint64) * C1 + np.uint64(band * int(C2) + int(C3) & 0xFFFFFFFFFFFFFFFF))
         out = [mixed(sums[used] ^ name)]
         if loose:
             of = np.flatnonzero((segment >= exact) & (segment < exact + loose))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.llm import embedding_dedup, language_id, lm_score, mixing, ngram_join
-from vitrine.llm import permutation_index, sentencepiece_sampling, wavelet
+from vitrine.llm import permutation_index, sentencepiece_sampling, suffix_dedup, wavelet
 from vitrine.llm.common import table
 
 # Vocabulary files of public tokenizers lie outside the repository.
@@ -50,8 +50,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op7_ngram_join,
-    op8_lm_scoring, op9_language_id)}
+    op8_lm_scoring, op9_language_id, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {}
