@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import embedding_dedup, language_id, lm_score, mixing, ngram_join
+from vitrine.llm import embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join
 from vitrine.llm import permutation_index, sentencepiece_sampling, suffix_dedup, wavelet
 from vitrine.llm.common import table
 
@@ -21,6 +21,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -55,7 +59,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_mixing, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op7_ngram_join,
+    op1_mixing, op2_line_dedup, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op7_ngram_join,
     op8_lm_scoring, op9_language_id, op10_suffix_dedup)}
 
 ORACLES: dict[str, str] = {}
