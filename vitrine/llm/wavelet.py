@@ -20,10 +20,11 @@ texts; a null id comes first; an empty table writes no file and gives no rows.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -194,7 +195,7 @@ def visible_bytes() -> list[str]:
 class Encoder:
     """Token ids of whole texts; equal to the library's encode(text, add_special_tokens=False)."""
 
-    def __init__(self, path: str, cache: int = 200_000) -> None:
+    def __init__(self, path: str, cache: int = 500_000) -> None:
         import regex
         from tokenizers import Tokenizer
 
@@ -204,30 +205,43 @@ class Encoder:
         # The library's own pattern for byte-level words, a fixed value.
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.visible = visible_bytes()
-        self.known: dict[str, list[int]] = {}
+        self.known = Known(self.piece)
         self.cache = cache
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, text: str) -> bytes:
+        """Ids of a piece as little-endian 32-bit numbers."""
         ids: list[int] = []
         table = self.visible
         for word in self.pattern.findall(text):
             ids += [t.id for t in self.model.tokenize("".join([table[b] for b in word.encode()]))]
-        return ids
+        return np.array(ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if ODD.search(text) or any(s in text for s in self.special):
-            return self.whole.encode(text, add_special_tokens=False).ids
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         if len(self.known) > self.cache:
             self.known.clear()
-        known, ids = self.known, []
-        for cut in CUT.findall(text):
-            got = known.get(cut)
-            if got is None:
-                got = known[cut] = self.piece(cut)
-            ids += got
+        return np.frombuffer(b"".join(map(self.known.__getitem__, CUT.findall(text))), "<u4")
+
+
+class Known(dict):
+    """Ids of pieces, made at their first use."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = ids = self.make(piece)
         return ids
 
 
+@functools.lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder per worker process: its pieces serve the tasks that follow."""
+    return Encoder(path)
+
+
 # --- the operator --------------------------------------------------------------------------
 
 def write_shards(documents: DataFrame, tokenizer: str, root: str, end_id: int = 2,
@@ -243,7 +257,7 @@ def write_shards(documents: DataFrame, tokenizer: str, root: str, end_id: int =
 
         store, folder = fs.FileSystem.from_uri(root)
         store.create_dir(folder, recursive=True)
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         docs: list[int] = []
         lengths: list[int] = []
         held: list[np.ndarray] = []
@@ -262,7 +276,7 @@ def write_shards(documents: DataFrame, tokenizer: str, root: str, end_id: int =
         full = 0
         for batch in batches:
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.array([*encoder.encode(text), end_id], np.uint32)
+                ids = np.append(encoder.encode(text), np.uint32(end_id))
                 docs.append(doc), lengths.append(len(ids)), held.append(ids)
                 full += len(ids)
                 if full >= shard_tokens:
