@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.llm import embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join
 from vitrine.llm import permutation_index, sentencepiece_sampling, suffix_dedup, wavelet
-from vitrine.llm.common import table
-
-# Vocabulary files of public tokenizers lie outside the repository.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+from vitrine.llm.common import TOKENIZERS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
