@@ -344,29 +344,14 @@ class Sampler:
                  for edges, total, value, inclusion in s.results(self.k)] for s in searches]
 
     def _extend(self, lattices: Lattices, searches: list[Search], round_: int) -> None:
-        """The best segmentation of the set each search has taken: its unit anew until it is none of
-        the excluded ones, the units behind it freely.  All searches draw together."""
+        """The best segmentation of the set each search has taken: its unit anew without the excluded
+        ones, the units behind it freely.  All searches draw the latter together."""
         if not searches:
             return
-        chosen: list[tuple[np.ndarray, float] | None] = [None] * len(searches)
-        todo = list(range(len(searches)))
-        for tries in range(64):
-            unit = np.array([searches[i].units[searches[i].at] for i in todo])
-            key = np.array([searches[i].keys[searches[i].at] for i in todo], np.uint64)
-            o, e, q = lattices.sample(unit, mixed(key + np.uint64(round_ * 1_000_003 + tries * 7_919 + 1)))
-            cut = np.searchsorted(o, np.arange(len(todo) + 1))
-            rest = []
-            for j, i in enumerate(todo):
-                path = e[cut[j]:cut[j + 1]]
-                if path.tobytes() in searches[i].banned:
-                    rest.append(i)
-                else:
-                    chosen[i] = (path, float(q[j]))
-            todo = rest
-            if not todo:
-                break
-        for i in todo:
-            chosen[i] = self._other(lattices, int(searches[i].units[searches[i].at]), searches[i].banned)
+        chosen = []
+        for i, key in enumerate(mixed(np.array([s.keys[s.at] for s in searches], np.uint64)
+                                      + np.uint64(round_ * 1_000_003)).tolist()):
+            chosen.append(self._other(lattices, int(searches[i].units[searches[i].at]), searches[i].banned, key))
         tails = [s.units[s.at + 1:] for s in searches]
         keys = np.concatenate([s.keys[s.at + 1:] for s in searches])
         o, e, q = lattices.sample(np.concatenate(tails), mixed(keys + np.uint64(round_ * 15_485_863 + 3)))
@@ -376,24 +361,49 @@ class Sampler:
         for j, s in enumerate(searches):
             s.add(*chosen[j], q[at[j]:at[j + 1]], e[edge_at[j]:edge_at[j + 1]], sizes[at[j]:at[j + 1]])
 
-    def _other(self, lattices: Lattices, unit: int, banned: list[bytes]) -> tuple[np.ndarray, float]:
-        """Where the excluded choices hold almost all mass: the remaining segmentations in order of
-        probability, by best-first search over the unit alone."""
-        import heapq
-
-        start = int(lattices.start[unit])
-        heap: list[tuple[float, tuple[int, ...], int]] = [(0.0, (), start)]
-        while heap:
-            cost, path, at = heapq.heappop(heap)
-            if at < 0:
-                edges = np.array(path, np.int64)
-                if edges.tobytes() not in banned:
-                    return edges, -cost
-                continue
-            for e in range(int(lattices.edge_start[at]), int(lattices.edge_start[at + 1])):
-                heapq.heappush(heap, (cost - float(lattices.log_edge[e]), (*path, e),
-                                      -1 if lattices.closes[e] else int(lattices.target[e])))
-        raise RuntimeError("no other segmentation")
+    def _other(self, lattices: Lattices, unit: int, banned: list[bytes], key: int) -> tuple[np.ndarray, float]:
+        """One segmentation of a unit given that it is none of the excluded ones.  An edge weighs its
+        share less what the excluded paths that have come this way hold of it."""
+        shut = []  # edges of each excluded path, and the probability of what follows each edge
+        for b in banned:
+            edges = np.frombuffer(b, np.int64)
+            after = np.cumsum(lattices.log_edge[edges][::-1])[::-1]
+            shut.append((edges.tolist(), np.exp(np.append(after[1:], 0.0)).tolist()))
+        at, path, log_p = int(lattices.start[unit]), [], 0.0
+        while True:
+            edges = range(int(lattices.edge_start[at]), int(lattices.edge_start[at + 1]))
+            left = []
+            for e in edges:
+                share = float(lattices.share[e])
+                held = sum(after[len(path)] for b, after in shut if b[len(path)] == e)
+                left.append(share * (1.0 - held) if held < 1.0 - 1e-13 else 0.0)
+            u = float(uniform(np.array([(key + len(path) * 0x9E3779B1) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]) * sum(left)
+            pick = next((i for i, x in enumerate(np.cumsum(left).tolist()) if u < x), len(left) - 1)
+            e = edges[pick]
+            path.append(e)
+            log_p += float(lattices.log_edge[e])
+            shut = [x for x in shut if x[0][len(path) - 1] == e]
+            if lattices.closes[e]:
+                return np.array(path, np.int64), log_p
+            if not shut:  # nothing excluded lies ahead
+                rest, log_rest = self._free(lattices, int(lattices.target[e]), key + len(path))
+                return np.concatenate([np.array(path, np.int64), rest]), log_p + log_rest
+            at = int(lattices.target[e])
+
+    def _free(self, lattices: Lattices, at: int, key: int) -> tuple[np.ndarray, float]:
+        """One segmentation of the rest of a unit."""
+        path, log_p = [], 0.0
+        while True:
+            u = float(uniform(np.array([(key * 31 + len(path) * 0x9E3779B1 + 7) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0])
+            e, last = int(lattices.edge_start[at]), int(lattices.edge_start[at + 1]) - 1
+            while e < last and u >= lattices.share[e]:
+                u -= float(lattices.share[e])
+                e += 1
+            path.append(e)
+            log_p += float(lattices.log_edge[e])
+            if lattices.closes[e]:
+                return np.array(path, np.int64), log_p
+            at = int(lattices.target[e])
 
     def _ids(self, lattices, edges: np.ndarray) -> np.ndarray:
         ids = lattices.piece[edges]

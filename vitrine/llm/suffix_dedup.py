@@ -39,6 +39,7 @@ from vitrine.llm.common import NO_ID, pieces, row_id, stored, text_bytes, whole_
 from vitrine.llm.sentencepiece_sampling import mixed
 
 LEAD = 24  # bytes of a suffix that choose its bucket
+BUCKET = 10_000  # suffixes in a bucket, about
 
 
 # --- windows and anchors -------------------------------------------------------------------
@@ -275,7 +276,7 @@ def repeats(named: DataFrame, length: int, gram: int) -> DataFrame:
     count = asked.count()
     parts = pieces(count, 5_000)
     suffixes = contexts(asked, named, length).withColumn("salt", F.xxhash64("suffix", "prefix"))
-    found = (suffixes.repartitionByRange(pieces(count, 10_000), "lead", "salt").drop("salt")
+    found = (suffixes.repartitionByRange(pieces(count, BUCKET), "lead", "salt").drop("salt")
              .mapInPandas(sorted_bucket(length, parts), FOUND))
     return found.groupBy("part").applyInPandas(across, "id long, mark int, first int, last int").union(whole)
 
