@@ -8,10 +8,10 @@ with 99.98 %.  Candidates are verified by the exact Jaccard similarity of their
 distributed union-find joins what is linked (`linking`, `common.components`), and of each component only
 the first line of the smallest document stays.
 
-Cost: shingles are made inside generated code from short overlapping chunks of a line, so a line
-of any length takes linear time.  Of a long line only shingles with small hashes can be a bin's
-minimum; the others are dropped before the aggregation (a bin goes empty by that with e**-8).  What is
-shuffled per distinct line is its signature; line texts move only for candidates.  A line found in a
+Cost: signatures are made inside generated code from the shingles of a line's UTF-8 bytes, which are
+cut out in constant time, so a line of any length takes linear time; verification counts characters.
+Of a long line mostly shingles with small hashes are a bin's minimum; the others are dropped before
+the aggregation (a bin goes empty by that with e**-5).  What is shuffled per distinct line is its signature; line texts move only for candidates.  A line found in a
 third of all documents is counted within each task first.
 
 Defined cases: blank lines are never compared or removed; null and empty texts have no lines and
@@ -26,8 +26,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitrine.llm.common import NO_ID, row_id, stored
 from vitrine.llm.linking import link_groups
 
-CHUNK = 64
-
 
 def _documents(documents: DataFrame) -> DataFrame:
     return documents.select(row_id().alias("id"), F.hash("text").alias("mark"), "text")
@@ -42,16 +40,13 @@ def _lines(documents: DataFrame) -> DataFrame:
 def signatures(lines: DataFrame, shingle: int, bands: int, rows_: int) -> DataFrame:
     """name and the bin minima b0, b1, ... of every distinct line."""
     bins = bands * rows_
-    # Chunks overlap by shingle - 1 characters, so each shingle starts in exactly one of them.
-    cut = F.regexp_extract_all("line", F.lit(f"(?s)(?=(.{{1,{CHUNK + shingle - 1}}})).{{1,{CHUNK}}}"), F.lit(1))
-    size = F.length("line")
-    chunks = lines.select("name", size.alias("size"), F.explode(cut).alias("chunk"))
-    starts = F.greatest(F.length("chunk") - (shingle - 1), F.when(F.col("size") < shingle, 1).otherwise(0))
-    grams = chunks.where(starts > 0).select("name", "size", "chunk", F.explode(F.sequence(F.lit(1), starts)).alias("at"))
-    h = F.xxhash64(F.substring(F.col("chunk"), F.col("at"), F.lit(shingle)))
-    hashed = grams.select("name", "size", h.alias("h"))
+    # Bytes are cut out at a known place, characters would be counted from the line's start.
+    raw = lines.select("name", F.col("line").cast("binary").alias("raw"), F.octet_length("line").alias("size"))
+    places = F.sequence(F.lit(1), F.greatest(F.col("size") - (shingle - 1), F.lit(1)))
+    hashed = raw.select("name", "size", "raw", F.explode(places).alias("at")).select(
+        "name", "size", F.xxhash64(F.substring(F.col("raw"), F.col("at"), F.lit(shingle))).alias("h"))
     value = F.shiftrightunsigned("h", 33).cast("int")  # 31 bits
-    limit = F.lit(8.0 * bins * (1 << 31)) / F.col("size")
+    limit = F.lit(5.0 * bins * (1 << 31)) / F.col("size")
     small = (hashed.select("name", F.pmod(F.col("h"), F.lit(bins)).cast("int").alias("bin"), value.alias("v"),
                            limit.alias("limit")).where(F.col("v") < F.col("limit")))
     return small.groupBy("name").agg(*[F.min(F.when(F.col("bin") == i, F.col("v"))).alias(f"b{i}")
@@ -87,13 +82,18 @@ def verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame, shingle:
              .select(F.col("p.name").alias("name"), F.element_at("lines", F.col("p.pos") + 1).alias("line"))
              .dropDuplicates(["name"]))
     texts = stored(texts, "candidate-lines")
-    both = (pairs.join(texts.select(F.col("name").alias("a"), F.col("line").alias("x")), "a")
-            .join(texts.select(F.col("name").alias("b"), F.col("line").alias("y")), "b"))
-    sets = both.select("a", "b", F.explode(F.array(F.struct(shingles("x", shingle).alias("x"),
-                                                            shingles("y", shingle).alias("y")))).alias("s"))
-    counted = sets.select("a", "b", F.size(F.array_intersect("s.x", "s.y")).alias("common"),
-                          (F.size("s.x") + F.size("s.y")).alias("total"))
-    return counted.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("a", "b")
+    # The shingles of a line are made once for a chunk of its partners.
+    size = pairs.groupBy("a").agg(F.ceil(F.count("*") / 50).alias("chunks"))
+    cut = pairs.join(size, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("chunks")))
+    others = (cut.join(texts.select(F.col("name").alias("b"), F.col("line").alias("y")), "b")
+              .groupBy("a", "part").agg(F.collect_list(F.struct("b", "y")).alias("others")))
+    one = others.join(texts.select(F.col("name").alias("a"), F.col("line").alias("x")), "a")
+    one = one.select("a", F.explode(F.array(shingles("x", shingle))).alias("x"), "others")
+    two = one.select("a", "x", F.explode("others").alias("o")).select(
+        "a", "x", "o.b", F.explode(F.array(shingles("o.y", shingle))).alias("y"))
+    both = two.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"),
+                      (F.size("x") + F.size("y")).alias("total"))
+    return both.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("a", "b")
 
 
 def repeated_lines(documents: DataFrame, shingle: int = 8, percent: int = 80, bands: int = 6,
@@ -104,7 +104,7 @@ def repeated_lines(documents: DataFrame, shingle: int = 8, percent: int = 80, ba
     firsts = stored(occurrences.groupBy("name").agg(F.min(F.struct("id", "mark", "pos")).alias("first"),
                                                     F.count("*").alias("n")), "line-firsts")
     members = stored(band_members(signatures(lines, shingle, bands, rows_), bands, rows_), "line-bands")
-    shared = members.groupBy("sig").count().where("count > 1").select("sig")
+    shared = members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
     members = members.join(shared, "sig", "left_semi")
     component, _ = link_groups(
         members, lambda pairs: verified(pairs, documents, firsts, shingle, percent), "line-links")

@@ -5,9 +5,10 @@ components of the links among nodes that share a signature.  Testing every pair
 neither possible nor needed: once two nodes are known to be connected, their own link changes
 nothing.  So pairs are tested in rounds:
 
-1. every node of a group against the group's smallest node;
-2. while groups still span several components: the smallest node of each component in the group
-   against the smallest of all, and likewise the largest nodes;
+1. every node of a group against the group's hub, the node that shares the most signatures with
+   others: among copies of one text with edits of their own that is mostly the text itself;
+2. while groups still span several components: the hub of each component in the group against the
+   hub of all, and likewise the nodes that share least;
 3. all pairs that share a group, lie in different components and were not tested before.
 
 After step 3 each pair of nodes that shares a signature was tested or is connected, so the
@@ -42,6 +43,11 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
     else:
         members = members.withColumn("size", F.lit(0).cast("long"))
     members = stored(members.select("sig", "node", "size"), label)
+    # How often a node meets others; groups of one are left out here.
+    met = members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1")
+    members = members.join(met, "sig")
+    shared = members.groupBy("node").agg((-F.sum("n")).alias("order"))
+    members = stored(members.join(shared, "node").select("sig", "node", "size", "order"), label)
 
     def fits(pairs: DataFrame) -> DataFrame:
         return pairs.where(condition("s", "t")) if condition is not None else pairs
@@ -50,10 +56,10 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
         new = stored(fits(pairs).select("a", "b").distinct(), label)
         return new, stored(verify(new), label)
 
-    # Step 1: each node against its group's smallest.
-    hub = members.groupBy("sig").agg(F.min(F.struct("node", "size")).alias("h")).select(
+    # Step 1: each node against its group's hub.
+    hub = members.groupBy("sig").agg(F.min(F.struct("order", "node", "size")).alias("h")).select(
         "sig", F.col("h.node").alias("hub"), F.col("h.size").alias("t"))
-    done, links = tested(members.withColumnRenamed("size", "s").join(hub, "sig").where("node > hub")
+    done, links = tested(members.withColumnRenamed("size", "s").join(hub, "sig").where("node <> hub")
                          .select(*_pairs("node", "hub"), "s", "t"))
     for _ in range(ROUNDS):
         component = components(links, label)
@@ -64,12 +70,13 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
         placed = stored(placed.join(split, "sig"), label)
         if placed.isEmpty():
             return component, links
-        ends = placed.groupBy("sig", "c").agg(F.min(F.struct("node", "size")).alias("x"),
-                                              F.max(F.struct("node", "size")).alias("z"))
+        ends = placed.groupBy("sig", "c").agg(F.min(F.struct("order", "node", "size")).alias("x"),
+                                              F.max(F.struct("order", "node", "size")).alias("z"))
         both = ends.select("sig", F.explode(F.array(F.struct(F.lit(0).alias("e"), F.col("x").alias("v")),
                                                     F.struct(F.lit(1).alias("e"), F.col("z").alias("v")))).alias("q"))
-        both = both.select("sig", "q.e", F.col("q.v.node").alias("node"), F.col("q.v.size").alias("s"))
-        top = both.groupBy("sig", "e").agg(F.min(F.struct("node", "s")).alias("h")).select(
+        both = both.select("sig", "q.e", F.col("q.v.order").alias("order"), F.col("q.v.node").alias("node"),
+                           F.col("q.v.size").alias("s"))
+        top = both.groupBy("sig", "e").agg(F.min(F.struct("order", "node", "s")).alias("h")).select(
             "sig", "e", F.col("h.node").alias("hub"), F.col("h.s").alias("t"))
         new = (both.join(top, ["sig", "e"]).where("node <> hub").select(*_pairs("node", "hub"), "s", "t")
                .join(done, ["a", "b"], "left_anti"))
