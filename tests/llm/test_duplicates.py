@@ -164,7 +164,7 @@ def test_line_signatures_cover_all_chunks(spark):
         for b in range(4):
             low = want.get((r.id, b))
             assert got[r.name][f"b{b}"] in (low, None)
-            assert got[r.name][f"b{b}"] == low or low > 8.0 * 4 * 2**31 / len(r.line)
+            assert got[r.name][f"b{b}"] == low or low > 5.0 * 4 * 2**31 / len(r.line)
 
 
 def test_line_dedup_is_native(docs):
@@ -177,7 +177,9 @@ def test_line_dedup_odd_rows(odd, nothing):
     got = line_dedup.line_counts(odd).collect()
     assert len(got) == odd.count()
     by = {r.doc_id: r for r in got}
-    assert by[0].n_lines == 0 and by[2].removed == [] and by[10].removed == [1] and by[7].n_removed == 2999
+    assert by[0].n_lines == 0 and by[2].removed == []
+    want = brute_lines({r.doc_id: r.text for r in odd.collect() if r.doc_id is not None}.items())
+    assert all(r.removed == want[r.doc_id] for r in got if r.doc_id is not None)
     assert line_dedup.line_counts(nothing).count() == 0
     kept = line_dedup.without_repeats(odd)
     texts = collections.Counter((r.doc_id, r.text) for r in kept.collect())

@@ -144,7 +144,8 @@ class Lattices:
             more = here + depth < end_of[here]
             here, node = here[more], node[more]
         covered = np.zeros(n, bool)
-        covered[froms[0]] = True
+        if froms:
+            covered[froms[0]] = True
         bare = np.flatnonzero(~covered)  # no single-character piece: bytes
         width = 1 + (chars[bare] > 0x7F) + (chars[bare] > 0x7FF) + (chars[bare] > 0xFFFF)
         froms.append(bare)
