@@ -19,7 +19,8 @@ same bytes.  Consecutive windows with one anchor form a run; a run's context is
 5. The repeats of a document are merged into spans and cut out.
 
 Counts of equal names are combined before they are shuffled, so thousands of copies meet as one row
-per task.  Equality of contexts and windows is concluded from 128 bits of hash.
+per task.  Equality of contexts and of windows is concluded from 128 bits: 64 of their own and 64 of the
+anchor.
 
 Defined cases: null and empty texts have no bytes; texts shorter than `length` keep everything; rows that
 repeat count as documents of their own, with ids alike or null; empty tables give no rows.
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from vitrine.llm.common import NO_ID, pieces, row_id, stored, text_bytes, whole_text
 from vitrine.llm.sentencepiece_sampling import mixed
 
-LEAD = 24  # bytes of a suffix that choose its bucket
+LEAD = 24  # bytes of a suffix that choose its bucket; an anchor, if shorter
 BUCKET = 10_000  # suffixes in a bucket, about
 
 
@@ -97,15 +98,6 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     return firsts, lasts, places, hashes[places]
 
 
-def windows_of(context: bytes, length: int) -> np.ndarray:
-    """128-bit hashes of all windows of a context, as a structured array."""
-    data = np.frombuffer(context, np.uint8)
-    out = np.empty(len(data) - length + 1, [("h", np.uint64), ("l", np.uint64)])
-    out["h"] = mixed(rolling(data, length, 0x9E3779B97F4A7C15))
-    out["l"] = mixed(rolling(data, length, 0xC2B2AE3D27D4EB4F))
-    return out
-
-
 def multikey_quicksort(suffixes: list[bytes]) -> list[int]:
     """Order of the suffixes: partition by the next eight bytes around a pivot, recurse into the equal
     part one character further, into the others at the same one."""
@@ -129,12 +121,6 @@ def multikey_quicksort(suffixes: list[bytes]) -> list[int]:
     return order
 
 
-def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last index of each run of set flags."""
-    edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
-
-
 # --- the steps -----------------------------------------------------------------------------
 
 RUN = "id long, mark int, first int, last int, anchor int, key long, context long"
@@ -167,7 +153,7 @@ def all_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(run, RUN)
 
 
-def contexts(asked: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+def contexts(asked: DataFrame, texts: DataFrame, length: int, lead: int) -> DataFrame:
     """The bytes of the asked runs: suffix from the anchor on, the bytes before it, and its owner."""
     lists = asked.groupBy("id", "mark").agg(
         F.collect_list(F.struct("first", "last", "anchor", "key", "twice")).alias("runs"))
@@ -182,7 +168,7 @@ def contexts(asked: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                     "first": pa.array([r["first"] for r in own], pa.int32()),
                     "key": pa.array([r["key"] for r in own], pa.int64()),
                     "twice": pa.array([r["twice"] for r in own], pa.bool_()),
-                    "lead": [raw[r["anchor"]:r["anchor"] + LEAD] for r in own],
+                    "lead": [raw[r["anchor"]:r["anchor"] + lead] for r in own],
                     "suffix": [raw[r["anchor"]:r["last"] + length] for r in own],
                     "prefix": [raw[r["first"]:r["anchor"]] for r in own]})
 
@@ -190,39 +176,46 @@ def contexts(asked: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                                 "suffix binary, prefix binary")
 
 
-FOUND = "part int, id long, mark int, first int, last int, twice boolean, high long, low long"
+FOUND = "part int, id long, mark int, first int, last int, twice boolean, window long, key long"
 FOUND_COLUMNS = [c.split()[0] for c in FOUND.split(", ")]
 
 
-def resolved(group: pd.DataFrame, length: int, parts: int, at_border: bool) -> Iterator[pd.DataFrame]:
-    """Stretches of windows that occur twice within the group; at a border also one of each window
-    hash (last = -1), to be compared with other buckets."""
-    windows = [windows_of(p + s, length) for p, s in zip(group["prefix"], group["suffix"])]
-    sizes = [len(w) for w in windows]
-    every = np.concatenate(windows)
-    names, index, where, count = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
+def resolved(rows: pd.DataFrame, border: np.ndarray, length: int, parts: int) -> pd.DataFrame:
+    """Stretches of windows that occur twice among a bucket's contexts.  Of contexts at the border also
+    one of each window (last = -1), to be compared with other buckets."""
+    whole = [p + s for p, s in zip(rows["prefix"], rows["suffix"])]
+    sizes = np.array([len(w) for w in whole])
+    counts = sizes - length + 1
+    owner = np.repeat(np.arange(len(whole)), counts)
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    data = np.frombuffer(b"".join(whole), np.uint8)
+    window = mixed(rolling(data, length, 0x9E3779B97F4A7C15))[(np.cumsum(sizes) - sizes)[owner] + place]
+    key = rows["key"].to_numpy().view(np.uint64)[owner]
+    order = np.argsort(mixed(window + key * np.uint64(0xC2B2AE3D27D4EB4F)), kind="stable")
+    w, k = window[order], key[order]
+    new = np.concatenate([[True], (w[1:] != w[:-1]) | (k[1:] != k[:-1])])
+    name = np.empty(len(order), np.int64)
+    name[order] = np.cumsum(new) - 1
     # Runs whose whole context occurs elsewhere count twice by themselves and need no stretch.
-    own = group["twice"].to_numpy(dtype=bool)
-    held = np.zeros(len(names), bool)
-    owner = np.repeat(np.arange(len(windows)), sizes)
-    held[where[own[owner]]] = True
-    twice = (count > 1) | held
-    ids, marks, starts = (group[c].to_numpy() for c in ("id", "mark", "first"))
-    out = []
-    for i, at in enumerate(np.cumsum(sizes) - sizes):
-        if own[i]:
-            continue
-        first, last = runs(twice[where[at:at + sizes[i]]])
-        out += [(int(ids[i]) % parts, ids[i], marks[i], starts[i] + f, starts[i] + e, True, 0, 0)
-                for f, e in zip(first.tolist(), last.tolist())]
-    if out:
-        yield pd.DataFrame(out, columns=FOUND_COLUMNS)
-    if at_border:
-        at = index - (np.cumsum(sizes) - sizes)[owner[index]]
-        yield pd.DataFrame({
-            "part": (names["h"] % np.uint64(parts)).astype(np.int32), "id": ids[owner[index]],
-            "mark": marks[owner[index]], "first": starts[owner[index]] + at, "last": -1, "twice": twice,
-            "high": names["h"].view(np.int64), "low": names["l"].view(np.int64)})[FOUND_COLUMNS]
+    own = rows["twice"].to_numpy(dtype=bool)
+    twice = np.bincount(name) > 1
+    twice[name[own[owner]]] = True
+    ids, marks, starts = (rows[c].to_numpy() for c in ("id", "mark", "first"))
+    flag = twice[name] & ~own[owner]
+    edge = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, bool)
+    begin = np.flatnonzero(flag & (edge | ~np.concatenate([[False], flag[:-1]])))
+    end = np.flatnonzero(flag & ~(np.concatenate([flag[1:], [False]]) & ~np.concatenate([edge[1:], [True]])))
+    o = owner[begin]
+    out = pd.DataFrame({"part": ids[o] % parts, "id": ids[o], "mark": marks[o], "first": starts[o] + place[begin],
+                        "last": starts[o] + place[end], "twice": True, "window": 0, "key": 0})
+    heads = order[new]
+    heads = heads[border[owner[heads]]]
+    o = owner[heads]
+    open_ = pd.DataFrame({
+        "part": (window[heads] % np.uint64(parts)).astype(np.int64), "id": ids[o], "mark": marks[o],
+        "first": starts[o] + place[heads], "last": -1, "twice": twice[name[heads]],
+        "window": window[heads].view(np.int64), "key": key[heads].view(np.int64)})
+    return pd.concat([out, open_])[FOUND_COLUMNS]
 
 
 def sorted_bucket(length: int, parts: int):
@@ -233,32 +226,23 @@ def sorted_bucket(length: int, parts: int):
             return
         rows = pd.concat(found, ignore_index=True)
         rows = rows.iloc[multikey_quicksort(list(rows["suffix"]))].reset_index(drop=True)
+        # Suffixes with one anchor share its bytes and so are neighbours.  Those that begin like the
+        # bucket's first or last may have more of their group in other buckets; others that stand
+        # alone have no partner.
         leads = list(rows["lead"])
-        border = {leads[0], leads[-1]}
-        # Suffixes with one anchor share its bytes, so they are neighbours; the hash tells them apart
-        # from suffixes that only begin alike.
-        starts = [i for i in range(len(leads)) if i == 0 or leads[i] != leads[i - 1]]
-        for lo, hi in zip(starts, [*starts[1:], len(leads)]):
-            open_ = leads[lo] in border
-            if hi - lo == 1 and not open_:
-                continue
-            for _, group in rows.iloc[lo:hi].groupby("key", sort=False):
-                if open_ or len(group) > 1:
-                    yield from resolved(group, length, parts, open_)
+        border = np.array([lead in (leads[0], leads[-1]) for lead in leads])
+        same = np.array([a == b for a, b in zip(leads, leads[1:])], bool)
+        near = np.concatenate([same, [False]]) | np.concatenate([[False], same]) | border
+        yield resolved(rows[near].reset_index(drop=True), border[near], length, parts)
 
     return run
 
 
 def across(group: pd.DataFrame) -> pd.DataFrame:
-    """Stretches pass; window hashes that came from two buckets, or twice from one, become stretches."""
+    """Stretches pass; windows that two buckets have become stretches."""
     done = group[group["last"] >= 0][["id", "mark", "first", "last"]]
     left = group[group["last"] < 0]
-    if not len(left):
-        return done
-    names = np.empty(len(left), [("h", np.int64), ("l", np.int64)])
-    names["h"], names["l"] = left["high"], left["low"]
-    _, where, count = np.unique(names, return_inverse=True, return_counts=True)
-    more = left[(count[where] > 1)][["id", "mark", "first"]]
+    more = left[left.duplicated(["window", "key"], keep=False)][["id", "mark", "first"]]
     return pd.concat([done, more.assign(last=more["first"])])
 
 
@@ -275,7 +259,7 @@ def repeats(named: DataFrame, length: int, gram: int) -> DataFrame:
     whole = stored(whole.select("id", "mark", "first", "last"), "whole-contexts")
     count = asked.count()
     parts = pieces(count, 5_000)
-    suffixes = contexts(asked, named, length).withColumn("salt", F.xxhash64("suffix", "prefix"))
+    suffixes = contexts(asked, named, length, min(LEAD, gram)).withColumn("salt", F.xxhash64("suffix", "prefix"))
     found = (suffixes.repartitionByRange(pieces(count, BUCKET), "lead", "salt").drop("salt")
              .mapInPandas(sorted_bucket(length, parts), FOUND))
     return found.groupBy("part").applyInPandas(across, "id long, mark int, first int, last int").union(whole)
