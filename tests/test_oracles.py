@@ -9,9 +9,6 @@ from tests.compare import connect, differences
 from tests.conftest import SF
 
 
-# Approximate by design; its tolerance is tested below.
-WITHOUT_ORACLE = {"penetration_approx"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -19,8 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_ORACLE
-    assert not set(ORACLES) - set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -29,13 +25,6 @@ def test_query_agrees(spark, con, name):
     assert differences(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
-def test_approximate_penetration_is_close(spark):
-    exact = {r.country_code: r.devices for r in QUERIES["penetration"](spark, SF).collect()}
-    near = {r.country_code: r.devices for r in QUERIES["penetration_approx"](spark, SF).collect()}
-    assert exact.keys() == near.keys()
-    assert all(abs(near[c] - n) <= max(1, 0.1 * n) for c, n in exact.items())
-
-
 def test_entry_runs(spark):
     result = entry.entry(spark)
     assert result.columns == ["product_id", "views"]

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tests.conftest import SF
 from vitrine.checks import queries as q
 from vitrine.operators.currency import build_dim_currency
@@ -12,16 +11,16 @@ from vitrine.operators.products import build_dim_prd
 from vitrine.operators.facts import write_fact, build_fact_event
 from vitrine.plans.products import top_products
 
-STREAMS = [n for n in entry.queries() if n.startswith("stream_")]
+STREAMS = [n for n in q.QUERIES if n.startswith("stream_")]
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in STREAMS])
+@pytest.mark.parametrize("name", [n for n in q.QUERIES if n not in STREAMS])
 def test_no_nested_loops_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(q.QUERIES[name](spark, SF))
     for word in ("NestedLoop", "CartesianProduct", "EvalPython", "MapInPandas", "FlatMapGroups"):
         assert word not in text
 

@@ -223,7 +223,10 @@ def test_survivors_do_not_depend_on_row_order(spark, lines):
 @pytest.mark.parametrize("text, amount, currency", [
     ("EUR 1,234.50", "1234.50", "EUR"), ("1.234,50 €", "1234.50", "€"), ("$12", "12.00", "$"),
     ("1 234 kr", "1234.00", "kr"), ("EUR 12.5", "12.50", "EUR"), ("1,234", "1234.00", None),
-    ("N/A", None, None), ("", None, None), (None, None, None), ("99999999999 EUR", None, "EUR"),
+    ("N/A", None, None), ("", None, None), (None, None, None), ("99999999999 EUR", "99999999999", "EUR"),
+    ("VND 125.000.000", "125000000", "VND"), ("EUR 1234.567", "1234.567", "EUR"), ("KWD 12.500", "12.5", "KWD"),
+    ("-20 EUR", "-20", "EUR"), ("EUR -1,5", "-1.5", "EUR"), ("1 234,5", "1234.5", None), ("1.234", "1234", None),
+    ("1,234,567.89", "1234567.89", None), ("1.234.567", "1234567", None), ("9" * 16, None, None),
 ])
 def test_price_text(spark, text, amount, currency):
     from vitrine.functions.money import price_amount, price_currency
@@ -266,3 +269,35 @@ def test_history_intervals(spark):
     one, two = decimal.Decimal("1.00"), decimal.Decimal("2.00")
     assert found == [("1", "A", one, 1, 3, False, None), ("1", "A", two, 3, 4, False, None),
                      ("1", None, two, 4, None, True, None), ("2", "B", None, 1, None, True, None)]
+
+
+def test_structured_prices_and_overflow(spark):
+    from vitrine.functions.money import is_overflow, price_amount
+
+    df = spark.createDataFrame([("USD 1.234",), ("EUR 100000000",), ("x",)], "p string")
+    p = F.col("p")
+    assert [tuple(r) for r in df.select(price_amount(p, structured=True), is_overflow(p)).collect()] == [
+        (decimal.Decimal("1.234"), False), (decimal.Decimal("100000000.000"), True), (None, False)]
+
+
+@pytest.mark.parametrize("text, micros", [
+    ("1704110400", 1_704_110_400_000_000), ("1704110400000", 1_704_110_400_000_000),
+    ("1704110400000123", 1_704_110_400_000_123), ("1704110400000123456", 1_704_110_400_000_123), ("-5", -5_000_000),
+    ("2024-01-01T12:00:00Z", 1_704_110_400_000_000), ("garbage", None), ("1e30", None), (None, None),
+])
+def test_event_times(spark, text, micros):
+    from vitrine.functions.times import event_time
+
+    row = spark.createDataFrame([(text,)], "t string").select(F.unix_micros(event_time(F.col("t")))).first()
+    assert row[0] == micros
+
+
+@pytest.mark.parametrize("text, reason", [
+    ('{"time_stamp":"garbage"}', "bad_time"), ('{"time_stamp":{"x":1}}', "bad_time"), ('{"unknown":1}', "no_fields"),
+    ("{}", "no_fields"), ('{"_id":"a"}', None), ('{"time_stamp":1704110400}', None), ("[1]", "malformed"), (" ", "empty"),
+])
+def test_reasons(spark, text, reason):
+    from vitrine.operators.quality import checked_events
+
+    df = spark.createDataFrame([(text,)], "json_str string")
+    assert checked_events(df, ["collection"]).first().reason == reason

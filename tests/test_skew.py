@@ -76,7 +76,7 @@ def test_attribution_with_every_device_split(fact):
 
 def test_medians(fact):
     """The exact median is that of all values; the approximate one is a middle value."""
-    views = engagement.view_durations(fact, cap_ms=10 ** 9)
+    views = engagement.view_durations(fact)
     values = {}
     for row in views.where("view_ms IS NOT NULL").select("country_code", "view_ms").collect():
         values.setdefault(row.country_code, []).append(row.view_ms)
@@ -87,7 +87,8 @@ def test_medians(fact):
         row, other = exact[country], near[country]
         assert row.median_ms == statistics.median(found)
         assert other.median_ms in (statistics.median_low(found), statistics.median_high(found))
-        assert (row.views, row.total_ms) == (other.views, other.total_ms) == (len(found), sum(found))
+        assert (row.timed_views, row.total_ms) == (other.timed_views, other.total_ms) == (len(found), sum(found))
+        assert row.views == row.timed_views + row.open_views == other.views
         assert row.mean_ms == pytest.approx(other.mean_ms) == pytest.approx(sum(found) / len(found))
 
 
@@ -97,5 +98,7 @@ def test_gap_at_the_cap_counts_and_above_does_not(spark):
     fact = spark.createDataFrame(
         [(str(i), "d", start + datetime.timedelta(seconds=t), "view_product_detail") for i, t in enumerate(times)],
         "event_id string, device_id string, time_stamp timestamp, collection string")
-    found = {r.event_id: r.view_ms for r in engagement.view_durations(fact).collect()}
+    found = {r.event_id: r.view_ms for r in engagement.view_durations(fact, cap_ms=1_800_000).collect()}
     assert found == {"0": 1_800_000, "1": None, "2": None}
+    found = {r.event_id: r.view_ms for r in engagement.view_durations(fact).collect()}
+    assert found == {"0": 1_800_000, "1": 1_801_000, "2": None}

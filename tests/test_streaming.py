@@ -36,7 +36,7 @@ def test_warehouse_stream_equals_batch(spark, folder, tmp_path):
     for name, table in TABLES.items():
         batch = table.build(parse_events(lines, table.fields))
         assert rows_of(jobs.read_table(spark, root, name)) == rows_of(batch), name
-        assert jobs.compact_table(spark, root, name) == 2
+        assert jobs.compact_table(spark, root, name) == 1
         assert rows_of(jobs.read_table(spark, root, name)) == rows_of(batch), name
     audit = jobs.read_audit(spark, root).agg(F.sum("rows"), F.count("*")).first()
     assert tuple(audit) == (lines.count(), 3)
@@ -63,10 +63,98 @@ def test_replayed_batch_and_restart_change_nothing(spark, lines, tmp_path):
     assert rows_of(jobs.read_table(spark, root, "dim_product")) == expected
     # The last batch is delivered a second time, as after a failure between sink and commit.
     write = jobs.warehouse_writer(root, ["dim_product"])
-    write(read_json_lines(spark, str(source / "b.txt")), 1)
+    again = read_json_lines(spark, str(source / "b.txt"))
+    again.sparkSession.sparkContext.setLocalProperty("sql.streaming.queryId", stream_ids(spark, root)[0])
+    try:
+        write(again, 1)
+    finally:
+        again.sparkSession.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert len(stream_ids(spark, root)) == 1
     assert rows_of(jobs.read_table(spark, root, "dim_product")) == expected
 
 
+def stream_ids(spark, root, table="dim_product"):
+    return [p.rsplit("/run=", 1)[1].split("-", 1)[1] for p in upsert._matches(spark, f"{root}/{table}/delta/run=*")]
+
+
+def test_checkpoint_reset_after_compaction_loses_nothing(spark, tmp_path):
+    """A new checkpoint counts its batches from 0 again; a second one before any compaction as well."""
+    root, combine = str(tmp_path / "t"), upsert.newest(["k"])
+
+    def row(key, value):
+        return spark.createDataFrame([(key, value)], "k string, v string")
+
+    for batch in (0, 1):
+        upsert.write_delta(row(f"old{batch}", "a"), root, batch, "first")
+    upsert.compact(spark, root, combine)
+    upsert.write_delta(row("new", "b"), root, 0, "second")
+    upsert.write_delta(row("old1", "c"), root, 0, "third")
+    want = [("new", "b"), ("old0", "a"), ("old1", "c")]
+    assert rows_of(upsert.read_current(spark, root, combine)) == want
+    assert upsert.compact(spark, root, combine) == 2
+    upsert.write_delta(row("late", "d"), root, 1, "second")
+    assert rows_of(upsert.read_current(spark, root, combine)) == sorted([*want, ("late", "d")])
+    assert not upsert._matches(spark, f"{root}/delta/run=*-first/batch=*")
+    assert upsert._matches(spark, f"{root}/delta/run=*-third/batch=*")
+
+
+def test_incomplete_batches(spark, tmp_path):
+    root, combine = str(tmp_path / "t"), upsert.newest(["k"])
+    for batch in (0, 1):
+        upsert.write_delta(spark.createDataFrame([(str(batch), "v")], "k string, v string"), root, batch, "r")
+    (tmp_path / "t/delta/run=1-r/batch=1/_SUCCESS").unlink()
+    assert rows_of(upsert.read_current(spark, root, combine)) == [("0", "v")]
+    upsert.write_delta(spark.createDataFrame([("2", "v")], "k string, v string"), root, 2, "r")
+    with pytest.raises(RuntimeError):
+        upsert.read_current(spark, root, combine)
+
+
+def test_failure_of_any_stream_is_noticed(spark, folder, tmp_path):
+    import time
+
+    def fail(df, n):
+        raise ValueError("planned")
+
+    lines = stream_json_lines(spark, folder)
+    going = sinks.start_stream(lines, lambda df, n: None, f"{tmp_path}/a", every="1 second")
+    broken = sinks.start_stream(lines, fail, f"{tmp_path}/b", every="1 second")
+    began = time.time()
+    with pytest.raises(Exception, match="planned"):
+        sinks.wait_for_all([going, broken])
+    assert time.time() - began < 60 and not going.isActive
+
+
+def test_windows_and_sessions_are_whole(spark, four_files, tmp_path):
+    """Late events count and open windows appear, whatever the order of the files."""
+    root = str(tmp_path / "out")
+    parts = {"w": lambda b: jobs.view_parts(b, "10 minutes"), "s": jobs.session_parts}
+    for name, reduce in parts.items():
+        events = parse_events(stream_json_lines(spark, four_files, files_per_trigger=1),
+                              ["_id", "time_stamp", "device_id", "collection"])
+        sinks.start_stream(events, lambda df, n: upsert.write_delta(reduce(df), f"{root}/{name}", n, upsert.run_of(df)),
+                           f"{root}/cp-{name}", every=None, skip_empty=True).awaitTermination()
+    windows = upsert.read_current(spark, f"{root}/w", jobs.whole_windows)
+    assert sorted((r.views, r.closed) for r in windows.collect()) == [(1, False), (3, True), (3, True)]
+    sessions = upsert.read_current(spark, f"{root}/s", jobs.whole_sessions)
+    assert sorted((r.events, r.closed) for r in sessions.collect()) == [(1, False), (3, True), (3, True)]
+
+
+def test_empty_batches_are_not_written(spark, four_files, tmp_path):
+    events = parse_events(stream_json_lines(spark, four_files), ["time_stamp", "collection"]).where("collection = 'none'")
+    seen = []
+    sinks.start_stream(events, lambda df, n: upsert.write_delta(df, f"{tmp_path}/t", n), f"{tmp_path}/cp", every=None,
+                       report=lambda n, rows: seen.append(rows), skip_empty=True).awaitTermination()
+    assert seen and not any(seen) and not upsert._matches(spark, f"{tmp_path}/t/delta/run=*")
+
+
+def test_complete_mode(spark, four_files, tmp_path):
+    events = parse_events(stream_json_lines(spark, four_files, files_per_trigger=1), ["device_id", "_id"])
+    counts = events.groupBy("device_id").count()
+    sinks.start_stream(counts, lambda df, n: upsert.write_delta(df, f"{tmp_path}/t", n), f"{tmp_path}/cp", "complete",
+                       every=None).awaitTermination()
+    assert rows_of(upsert.read_current(spark, f"{tmp_path}/t", upsert.newest(["device_id"]))) == [("d", 7)]
+
+
 def test_late_delta_after_compaction_is_merged(spark, tmp_path):
     root = str(tmp_path / "t")
     combine = upsert.newest(["k"])

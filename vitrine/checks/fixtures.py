@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.sources.files import spread, to_json_lines
+from vitrine.sources.files import to_json_lines
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -92,7 +92,7 @@ SELECT concat('e', CAST(e.event_id AS STRING)) AS _id,
  CASE WHEN e.event_id % 5 = 0 THEN {none} WHEN e.event_id % 5 = 1 THEN NULL ELSE {full} END AS option,
  CAST(e.event_id AS STRING) AS id,
  {currency} AS currency
-FROM (SELECT *, {k_of} AS k FROM {{events}}) e JOIN {{customer}} c ON c.c_custkey = e.user_id"""
+FROM (SELECT *, {k_of} AS k FROM {{events}}) e LEFT JOIN {{customer}} c ON c.c_custkey = e.user_id"""
 
 
 # Snippets put into each page's own head and body, by page_id % 4; the same text in both dialects.
@@ -124,11 +124,13 @@ SELECT {k} AS product_id, concat('Ring ', {k}) AS product_name,
 FROM {{events}} e"""
 
 
-# Event texts of which some are broken: cut off, empty, NULL, a list, or with a wrongly typed field.
+# Event texts of which some are broken: cut off, empty, NULL, a list, with a wrongly typed field, with an
+# unreadable time, or without any known field.
 DIRTY = """
 SELECT source_id, CASE CAST(source_id % 11 AS INT) WHEN 0 THEN substr(json_str, 1, length(json_str) - 1) WHEN 1 THEN ''
  WHEN 2 THEN CAST(NULL AS STRING) WHEN 3 THEN '[1, 2]'
- WHEN 4 THEN '{"_id":"x","option":{"option_label":1}}' ELSE json_str END AS json_str
+ WHEN 4 THEN '{"_id":"x","option":{"option_label":1}}' WHEN 5 THEN '{"_id":"x","time_stamp":"garbage"}'
+ WHEN 6 THEN '{}' WHEN 7 THEN '{"unknown":1}' ELSE json_str END AS json_str
 FROM {lines}"""
 
 
@@ -136,6 +138,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables are single small files, which Spark reads in one task: deal their rows out."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def run(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     """Run SQL text in which `{name}` stands for a DataFrame and other braces for themselves."""
     text = sql.replace("{", "{{").replace("}", "}}")

@@ -161,33 +161,33 @@ def with_info(body: str, **ctes: str) -> str:
     return clicks(body, product_pages=PAGES, options=OPTIONS, info=INFO, **ctes)
 
 
-AMOUNT = ("CAST(replace(regexp_extract(price, '[0-9]+(?:[.,][0-9]+)?'), ',', '.') AS DECIMAL(10,2))")
+AMOUNT = ("CAST(replace(regexp_extract(price, '[0-9]+(?:[.,][0-9]+)?'), ',', '.') AS DECIMAL(18,3))")
 
 # --- durations ---
 
 VIEWS = """
-SELECT *, CASE WHEN gap <= 1800000 THEN gap END AS view_ms FROM (
+SELECT *, CASE WHEN device_id IS NOT NULL AND time_stamp IS NOT NULL THEN gap END AS view_ms FROM (
  SELECT *, epoch_ms(lead(time_stamp) OVER (PARTITION BY device_id ORDER BY time_stamp, event_id))
-  - epoch_ms(time_stamp) AS gap FROM fact WHERE device_id IS NOT NULL)
+  - epoch_ms(time_stamp) AS gap FROM fact)
 WHERE collection = 'view_product_detail'"""
 
 
 def _stats(by: str, source: str = "views") -> str:
-    return (f"SELECT {by}, count(*) AS views, CAST(sum(view_ms) AS BIGINT) AS total_ms, "
-            "CAST(sum(view_ms) AS DOUBLE) / count(*) AS mean_ms, "
-            f"CAST(median(view_ms) AS DOUBLE) AS median_ms FROM {source} WHERE view_ms IS NOT NULL GROUP BY {by}")
+    return (f"SELECT {by}, count(*) AS views, count(view_ms) AS timed_views, count(*) - count(view_ms) AS open_views, "
+            "CAST(sum(view_ms) AS BIGINT) AS total_ms, CAST(sum(view_ms) AS DOUBLE) / count(view_ms) AS mean_ms, "
+            f"CAST(median(view_ms) AS DOUBLE) AS median_ms FROM {source} GROUP BY {by}")
 
 
-# --- windows of streams: emitted once the watermark has passed their end ---
+# --- windows of streams: all of them, with a flag for those that late events should no longer reach ---
 
 def _windows(size: str, slide: str, copies: int) -> str:
     return f"""
-SELECT epoch_ms(s) AS window_start, epoch_ms(s + INTERVAL '{size}') AS window_end, store_id, count(*) AS views
+SELECT epoch_ms(s) AS window_start, epoch_ms(s + INTERVAL '{size}') AS window_end, store_id, count(*) AS views,
+ s + INTERVAL '{size}' <= (SELECT max(time_stamp) FROM clicks WHERE collection = 'view_product_detail') - INTERVAL '10 minutes' AS closed
 FROM (SELECT store_id, collection, time_stamp, time_bucket(INTERVAL '{slide}', time_stamp) - k * INTERVAL '{slide}' AS s
  FROM clicks, (SELECT unnest(range({copies})) AS k))
 WHERE collection = 'view_product_detail'
- AND s + INTERVAL '{size}' <= (SELECT max(time_stamp) FROM clicks WHERE collection = 'view_product_detail') - INTERVAL '10 minutes'
-GROUP BY ALL"""
+GROUP BY s, store_id"""
 
 
 def _row_text(table: str, source: str, columns: list[str]) -> str:
@@ -315,6 +315,9 @@ FROM seen s JOIN (SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY dev
     "penetration": facts("""
 SELECT country_code, count(DISTINCT device_id) AS devices, CAST(count(DISTINCT device_id) AS DOUBLE) /
  (SELECT count(DISTINCT device_id) FROM fact WHERE country_code IS NOT NULL) AS penetration
+FROM fact WHERE country_code IS NOT NULL GROUP BY 1"""),
+    "penetration_approx": facts("""
+SELECT country_code, count(DISTINCT device_id) AS devices, true AS within
 FROM fact WHERE country_code IS NOT NULL GROUP BY 1"""),
     "store_compare": facts("""
 SELECT country_code, store_id, count(*) FILTER (collection = 'view_product_detail') AS views,
@@ -368,9 +371,10 @@ SELECT {_match('user_agent', REFERENCE['browser'])} AS browser, {_match('user_ag
 SELECT customer, count(*) AS events, CAST(ntile(4) OVER (ORDER BY count(*), md5(customer), customer) AS INTEGER) AS band
 FROM fact WHERE customer IS NOT NULL GROUP BY customer"""),
     "dq_quarantine": clicks("""
-SELECT source_id, CASE WHEN kind IN (1, 2) THEN 'empty' WHEN kind = 4 THEN 'bad_field' ELSE 'malformed' END AS reason
-FROM broken WHERE kind <= 4""", broken=BROKEN),
-    "dq_good": clicks("SELECT _id, collection FROM broken WHERE kind > 4", broken=BROKEN),
+SELECT source_id, CASE WHEN kind IN (1, 2) THEN 'empty' WHEN kind = 4 THEN 'bad_field' WHEN kind = 5 THEN 'bad_time'
+ WHEN kind IN (6, 7) THEN 'no_fields' ELSE 'malformed' END AS reason
+FROM broken WHERE kind <= 7""", broken=BROKEN),
+    "dq_good": clicks("SELECT _id, collection FROM broken WHERE kind > 7", broken=BROKEN),
     "dq_profile": clicks("""
 SELECT '_id' AS column_name, count(*) AS rows, count(*) FILTER (_id IS NULL) AS nulls, count(*) FILTER (_id = '') AS empties, 0::BIGINT AS violations FROM clicks
 UNION ALL SELECT 'user_id_db', count(*), count(*) FILTER (user_id_db IS NULL), count(*) FILTER (user_id_db = ''), 0 FROM clicks
@@ -403,10 +407,10 @@ SELECT 'events' AS table_name, 0::BIGINT AS batch_id, count(*) AS rows, epoch_ms
     "stream_views_sliding": clicks(_windows("2 hours", "1 hour", 2)),
     "stream_views_session": clicks("""
 SELECT device_id, epoch_ms(min(time_stamp)) AS session_start,
- epoch_ms(max(time_stamp) + INTERVAL '30 minutes') AS session_end, count(*) AS events
+ epoch_ms(max(time_stamp) + INTERVAL '30 minutes') AS session_end, count(*) AS events,
+ max(time_stamp) + INTERVAL '30 minutes' <= (SELECT max(time_stamp) FROM clicks) - INTERVAL '10 minutes' AS closed
 FROM (SELECT device_id, time_stamp, sum(fresh) OVER (PARTITION BY device_id ORDER BY time_stamp, _id) AS n
  FROM (SELECT *, CASE WHEN time_stamp < lag(time_stamp) OVER (PARTITION BY device_id ORDER BY time_stamp, _id)
    + INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM clicks))
-GROUP BY device_id, n
-HAVING max(time_stamp) + INTERVAL '30 minutes' <= (SELECT max(time_stamp) FROM clicks) - INTERVAL '10 minutes'"""),
+GROUP BY device_id, n"""),
 }

@@ -17,7 +17,7 @@ from vitrine.plans import products as product_plans
 from vitrine.schemas import EVENT_FIELDS
 from vitrine.session import work_dir
 from vitrine.sources.currency_list import currency_list
-from vitrine.sources.files import product_urls, spread
+from vitrine.sources.files import product_urls
 from vitrine.streaming import jobs, sinks, upsert
 
 # Suffixes of the shop in the page fixtures, tried in this order.
@@ -195,7 +195,7 @@ def product_info(spark, sf_dir):
 
 @query
 def product_info_given_pages(spark, sf_dir):
-    return pages.extract_product_info(spread(fx.table(spark, sf_dir, "pages")))
+    return pages.extract_product_info(fx.spread(fx.table(spark, sf_dir, "pages")))
 
 
 @query
@@ -282,7 +282,13 @@ def penetration(spark, sf_dir):
 
 @query
 def penetration_approx(spark, sf_dir):
-    return geography.penetration(fact(spark, sf_dir), approximate=True)
+    """Exact device counts, and whether the sketch's are within 5 %."""
+    exact = geography.penetration(fact(spark, sf_dir)).select("country_code", "devices")
+    near = geography.penetration(fact(spark, sf_dir), approximate=True).select(
+        "country_code", F.col("devices").alias("about"))
+    apart = F.abs(F.col("about") - F.col("devices"))
+    return exact.join(near, "country_code").select(
+        "country_code", "devices", (apart <= F.greatest(F.lit(1.0), 0.05 * F.col("devices"))).alias("within"))
 
 
 @query
@@ -391,8 +397,13 @@ def dq_audit(spark, sf_dir):
 
 def finish(stream: DataFrame, root: str, mode: str = "append") -> None:
     """Work off everything available into the deltas of one table."""
-    sinks.start_stream(stream, lambda batch, n: upsert.write_delta(batch, root, n),
-                       f"{root}/_checkpoint", mode, every=None).awaitTermination()
+    finish_parts(stream, root, lambda batch: batch, mode)
+
+
+def finish_parts(stream: DataFrame, root: str, reduce, mode: str = "append") -> None:
+    """The same, with each micro-batch reduced before it is stored."""
+    sinks.start_stream(stream, lambda batch, n: upsert.write_delta(reduce(batch), root, n, upsert.run_of(batch)),
+                       f"{root}/_checkpoint", mode, every=None, skip_empty=True).awaitTermination()
 
 
 @query
@@ -445,14 +456,14 @@ def _events_stream(spark: SparkSession, sf_dir: str, fields: list[str]) -> DataF
 def _windows(spark, sf_dir, label, size, slide=None):
     root = work_dir(spark, label)
     events = _events_stream(spark, sf_dir, ["time_stamp", "collection", "store_id"])
-    finish(jobs.windowed_views(events, size, slide, ["store_id"]), root)
-    closed = upsert.read_current(spark, root, lambda stored: stored.drop("batch"))
-    return closed.select(millis("window_start"), millis("window_end"), "store_id", "views")
+    finish_parts(events, root, lambda batch: jobs.view_parts(batch, size, slide, ["store_id"]))
+    whole = upsert.read_current(spark, root, lambda stored: jobs.whole_windows(stored, ["store_id"]))
+    return whole.select(millis("window_start"), millis("window_end"), "store_id", "views", "closed")
 
 
 @query
 def stream_views_tumbling(spark, sf_dir):
-    """Windows that the watermark has closed; the newest ones are still open and not emitted."""
+    """All windows, the open ones as well; parts of the micro-batches are added when read."""
     return _windows(spark, sf_dir, "stream_tumbling", "1 hour")
 
 
@@ -464,6 +475,6 @@ def stream_views_sliding(spark, sf_dir):
 @query
 def stream_views_session(spark, sf_dir):
     root = work_dir(spark, "stream_sessions")
-    finish(jobs.device_sessions(_events_stream(spark, sf_dir, ["time_stamp", "device_id"])), root)
-    closed = upsert.read_current(spark, root, lambda stored: stored.drop("batch"))
-    return closed.select("device_id", millis("session_start"), millis("session_end"), "events")
+    finish_parts(_events_stream(spark, sf_dir, ["time_stamp", "device_id"]), root, jobs.session_parts)
+    whole = upsert.read_current(spark, root, jobs.whole_sessions)
+    return whole.select("device_id", millis("session_start"), millis("session_end"), "events", "closed")

@@ -30,7 +30,7 @@ def product_history(versions: DataFrame, heavy: DataFrame | None = None) -> Data
     spans = neighbour(changes, "product_id", "seen_at", TRACKED, {"at": F.col("seen_at")}, step=1,
                       into="after", heavy=heavy)
     columns = {
-        "price": price_amount(F.col("raw_price")),
+        "price": price_amount(F.col("raw_price"), "decimal(10,2)"),
         "record_created_date": F.col("seen_at"),
         "record_expired_date": F.col("after.at"),
         "is_current_record": F.col("after").isNull(),

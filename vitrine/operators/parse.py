@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from vitrine.functions.times import event_time
 from vitrine.schemas import CORRUPT, EVENT_FIELDS, STRING, TIME, event_schema
 
+# Text that an event time was read from.
+TIME_TEXT = "_time_text"
+
 
 def decode_value(records: DataFrame) -> DataFrame:
     """Broker records (binary `value`) to one `json_str` column."""
@@ -20,7 +23,7 @@ def parse_events(json_df: DataFrame, fields: list[str] | None = None,
     `fields` narrows the schema handed to from_json.  Catalyst prunes a JSON schema only when a
     single field is read, so every builder names what it needs.
     `time_mode="reference"` lets from_json read `time_stamp` as TIMESTAMP (numbers as seconds).
-    `corrupt=True` keeps the input columns and adds `_corrupt_record`.
+    `corrupt=True` keeps the input columns and adds `_corrupt_record` and the time's text.
     """
     if time_mode not in ("normalised", "reference"):
         raise ValueError(f"unknown time_mode {time_mode!r}")
@@ -33,5 +36,7 @@ def parse_events(json_df: DataFrame, fields: list[str] | None = None,
     # parsed once.
     parsed = json_df.select(*(json_df.columns if corrupt else []), F.inline(F.array(data)))
     if "time_stamp" in wanted and time_mode == "normalised":
+        if corrupt:
+            parsed = parsed.withColumn(TIME_TEXT, F.col("time_stamp"))
         parsed = parsed.withColumn("time_stamp", event_time(F.col("time_stamp")))
     return parsed

@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vitrine.operators.parse import parse_events
-from vitrine.schemas import CORRUPT
+from vitrine.operators.parse import TIME_TEXT, parse_events
+from vitrine.schemas import CORRUPT, EVENT_FIELDS
 
 
 def checked_events(json_df: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Parsed events with a `reason`: NULL for a good row, else empty, malformed (not a JSON
-    object) or bad_field (an object in which some field does not fit its type)."""
-    rows = parse_events(json_df, fields, corrupt=True)
+    object), bad_field (an object in which some field does not fit its type), no_fields (an object
+    without any known field) or bad_time (a time is given but cannot be read).  All fields are
+    checked, `fields` are returned."""
+    rows = parse_events(json_df, corrupt=True)
+    nothing = F.lit(True)
+    for field in EVENT_FIELDS:
+        nothing = nothing & F.col(TIME_TEXT if field == "time_stamp" else field).isNull()
     text = F.trim("json_str")
     is_object = F.coalesce(
         F.schema_of_variant(F.try_parse_json(F.col(CORRUPT))).startswith("OBJECT"), F.lit(False))
     reason = (
         F.when(text.isNull() | (text == ""), "empty")
-        .when(F.col(CORRUPT).isNull(), None)
-        .when(is_object, "bad_field").otherwise("malformed")
+        .when(F.col(CORRUPT).isNotNull(), F.when(is_object, "bad_field").otherwise("malformed"))
+        .when(nothing, "no_fields")
+        .when(F.col(TIME_TEXT).isNotNull() & F.col("time_stamp").isNull(), "bad_time")
     )
-    return rows.withColumn("reason", reason)
+    wanted = EVENT_FIELDS if fields is None else [f for f in EVENT_FIELDS if f in fields]
+    return rows.withColumn("reason", reason).select(*json_df.columns, *wanted, CORRUPT, "reason")
 
 
 def split_events(json_df: DataFrame, fields: list[str] | None = None) -> tuple[DataFrame, DataFrame]:

@@ -7,49 +7,61 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vitrine.operators.skew import neighbour
 from vitrine.plans.measures import is_view, ratio, rows
 
-CAP_MS = 30 * 60 * 1000
 DURATION_COLUMNS = ["event_id", "device_id", "time_stamp", "collection", "product_id", "country_code",
                     "has_option", "diamond_option_id", "alloy_option_id"]
 
 
-def view_durations(fact: DataFrame, cap_ms: int = CAP_MS, heavy: DataFrame | None = None) -> DataFrame:
-    """Views with `view_ms`: time to the next event of the same device.  A gap above the cap means
-    the visitor left, and gives NULL."""
+def view_durations(fact: DataFrame, cap_ms: int | None = None, heavy: DataFrame | None = None) -> DataFrame:
+    """All views with `view_ms`: time to the next event of the same device, NULL where none follows or
+    device or time are unknown.  With `cap_ms`, longer gaps mean the visitor left and give NULL too."""
     known = fact.where(F.col("device_id").isNotNull() & F.col("time_stamp").isNotNull())
     timed = neighbour(known, "device_id", "time_stamp", ["event_id"],
                       {"ms": F.unix_millis("time_stamp")}, step=1, into="next", heavy=heavy)
     gap = F.col("next.ms") - F.unix_millis("time_stamp")
-    return timed.where(is_view()).withColumn("view_ms", F.when(gap <= cap_ms, gap)).drop("next")
+    known = timed.where(is_view()).withColumn("view_ms", gap if cap_ms is None else F.when(gap <= cap_ms, gap))
+    unknown = fact.where(is_view() & (F.col("device_id").isNull() | F.col("time_stamp").isNull()))
+    return known.drop("next").unionByName(unknown.withColumn("view_ms", F.lit(None).cast("bigint")))
 
 
-def duration_stats(views: DataFrame, by: list[str], approximate: bool = False) -> DataFrame:
-    """Count, total, mean and median of view_ms per group.
+def _join_same(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """Join on null-safe equality of columns of the same names, of which the left ones stay."""
+    right = right.withColumnsRenamed({name: f"_{name}" for name in names})
+    same = F.lit(True)
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return left.join(right, same, how).drop(*[f"_{name}" for name in names])
 
-    The exact median works on a histogram (group, view_ms), so one group holds at most cap + 1
-    rows however many views it has.  `approximate` uses a mergeable sketch and one shuffle.
-    """
-    known = views.where(F.col("view_ms").isNotNull())
-    if approximate:
-        return known.groupBy(*by).agg(
-            rows().alias("views"), F.sum("view_ms").alias("total_ms"),
-            F.avg("view_ms").alias("mean_ms"),
-            F.percentile_approx("view_ms", 0.5, 10000).cast("double").alias("median_ms"))
-    histogram = known.groupBy(*by, "view_ms").agg(rows().alias("n"))
-    running = Window.partitionBy(*by).orderBy("view_ms")
+
+def _medians(known: DataFrame, by: list[str]) -> DataFrame:
+    """Exact median of view_ms per group, over histograms.  Ranks run over minutes first and then
+    within a minute, so no task orders more than the minutes of a group or the values of a minute."""
+    histogram = known.groupBy(*by, "view_ms", F.floor(F.col("view_ms") / 60_000).alias("minute")).agg(rows().alias("n"))
+    minutes = histogram.groupBy(*by, "minute").agg(F.sum("n").alias("m"))
     whole = Window.partitionBy(*by)
-    placed = histogram.withColumns({
-        "upto": F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0)),
-        "views": F.sum("n").over(whole),
-    })
-    low = F.min(F.when(F.col("upto") * 2 >= F.col("views"), F.col("view_ms")))
-    high = F.min(F.when(F.col("upto") * 2 > F.col("views"), F.col("view_ms")))
-    return (
-        placed.groupBy(*by)
-        .agg(F.sum("n").alias("views"), F.sum(F.col("view_ms") * F.col("n")).alias("total_ms"),
-             ((low + high) / 2.0).cast("double").alias("median_ms"))
-        .withColumn("mean_ms", ratio(F.col("total_ms"), F.col("views")))
-        .select(*by, "views", "total_ms", "mean_ms", "median_ms")
-    )
+    placed = minutes.withColumns({
+        "before": F.sum("m").over(whole.orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)) - F.col("m"),
+        "all": F.sum("m").over(whole)}).drop("m")
+    both = _join_same(histogram, placed, [*by, "minute"])
+    upto = F.col("before") + F.sum("n").over(
+        Window.partitionBy(*by, "minute").orderBy("view_ms").rowsBetween(Window.unboundedPreceding, 0))
+    low = F.min(F.when(F.col("upto") * 2 >= F.col("all"), F.col("view_ms")))
+    high = F.min(F.when(F.col("upto") * 2 > F.col("all"), F.col("view_ms")))
+    return both.withColumn("upto", upto).groupBy(*by).agg(((low + high) / 2.0).cast("double").alias("median_ms"))
+
+
+def duration_stats(views: DataFrame, by: list[str], approximate: bool = False) -> DataFrame:
+    """Per group: all views, those with a duration (`timed_views`) and without (`open_views`), and total,
+    mean and median of the durations.  `approximate` takes the median from a mergeable sketch."""
+    median = [F.percentile_approx("view_ms", 0.5, 10000).cast("double").alias("median_ms")] if approximate else []
+    counted = views.groupBy(*by).agg(
+        rows().alias("views"), F.count("view_ms").alias("timed_views"),
+        F.count_if(F.col("view_ms").isNull()).alias("open_views"), F.sum("view_ms").alias("total_ms"), *median)
+    counted = counted.withColumn("mean_ms", ratio(F.col("total_ms"), F.col("timed_views")))
+    columns = ["views", "timed_views", "open_views", "total_ms", "mean_ms"]
+    if approximate:
+        return counted.select(*by, *columns, "median_ms")
+    medians = _medians(views.where(F.col("view_ms").isNotNull()), by)
+    return _join_same(counted, medians, by, "left").select(*by, *columns, "median_ms")
 
 
 def duration_by_product_country(fact: DataFrame, approximate: bool = False) -> DataFrame:

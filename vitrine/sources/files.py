@@ -13,16 +13,6 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "json_str")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few splits (a single small file) one task per core before costly parsing.
-
-    The number of splits is known from planning.  A large table has more splits than cores and is
-    returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def stream_json_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream
     if files_per_trigger:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vitrine.operators.currency import build_dim_currency
@@ -18,9 +18,8 @@ from vitrine.operators.parse import parse_events
 from vitrine.operators.products import build_dim_prd, build_dim_product
 from vitrine.operators.quality import audit_rows
 from vitrine.plans.measures import is_view, rows
-from vitrine.sources.files import spread
 from vitrine.streaming.sinks import Writer, start_stream
-from vitrine.streaming.upsert import compact, read_current, write_delta
+from vitrine.streaming.upsert import compact, read_current, run_of, write_delta
 
 # Builder and output mode of the one-query-per-dimension form.
 DIMENSIONS = {
@@ -52,15 +51,19 @@ def warehouse_writer(root: str, names: list[str], audit: bool = True) -> Writer:
     fields = needed_fields(names)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = parse_events(spread(batch), fields).persist(StorageLevel.MEMORY_AND_DISK)
+        run = run_of(batch)
+        events = parse_events(batch, fields).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if events.isEmpty():
+                return
+
             def store(name: str) -> None:
-                write_delta(TABLES[name].reduce(events), f"{root}/{name}", batch_id)
+                write_delta(TABLES[name].reduce(events), f"{root}/{name}", batch_id, run)
 
             jobs = [lambda name=name: store(name) for name in names]
             if audit:
                 jobs.append(lambda: write_delta(
-                    audit_rows(events, "events", batch_id), f"{root}/audit", batch_id))
+                    audit_rows(events, "events", batch_id), f"{root}/audit", batch_id, run))
             # The tables are independent: their small jobs overlap on the cluster.
             with ThreadPoolExecutor(max_workers=4) as pool:
                 done = [pool.submit(inheritable_thread_target(batch.sparkSession)(job)) for job in jobs]
@@ -120,6 +123,56 @@ def device_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "10
     )
 
 
+def view_parts(events: DataFrame, size: str, slide: str | None = None, by: list[str] | None = None) -> DataFrame:
+    """Views of some events per window: a part that `whole_windows` adds to others.  Nothing waits for a
+    watermark, so open windows and late events count as well."""
+    window = F.window("time_stamp", size, slide)
+    return (
+        events.where(is_view()).groupBy(window.alias("w"), *(by or []))
+        .agg(rows().alias("views"), F.max("time_stamp").alias("newest"))
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *(by or []),
+                "views", "newest")
+    )
+
+
+def _closed(end: str, parts: DataFrame, delay: str) -> Column:
+    """Whether the end lies before the newest event less `delay`."""
+    newest = parts.agg(F.max("newest").alias("t")).scalar()
+    return F.col(end) <= newest - F.expr(f"INTERVAL {delay}")
+
+
+def whole_windows(parts: DataFrame, by: list[str] | None = None, delay: str = "10 minutes") -> DataFrame:
+    """All windows with their views; `closed` tells those that no event within `delay` can change."""
+    keys = ["window_start", "window_end", *(by or [])]
+    return (parts.groupBy(*keys).agg(F.sum("views").alias("views"))
+            .withColumn("closed", _closed("window_end", parts, delay)))
+
+
+def session_parts(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Visits within some events: a part that `whole_sessions` joins to others."""
+    known = events.where(F.col("device_id").isNotNull() & F.col("time_stamp").isNotNull())
+    return (
+        known.groupBy(F.session_window("time_stamp", gap).alias("w"), "device_id")
+        .agg(rows().alias("events"), F.max("time_stamp").alias("newest"))
+        .select("device_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
+                "events", "newest")
+    )
+
+
+def whole_sessions(parts: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Visits of all parts: those of a device that overlap become one.  What a task orders is a
+    device's visits, one for each gap, not its events."""
+    before = Window.partitionBy("device_id").orderBy("session_start", "session_end")
+    reach = F.max("session_end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("session_start") < reach, 0).otherwise(1)
+    visits = parts.withColumn("fresh", fresh).withColumn("visit", F.sum("fresh").over(before.rowsBetween(
+        Window.unboundedPreceding, 0)))
+    return (visits.groupBy("device_id", "visit")
+            .agg(F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+                 F.sum("events").alias("events"))
+            .drop("visit").withColumn("closed", _closed("session_end", parts, delay)))
+
+
 def first_events(events: DataFrame, keys: list[str], delay: str = "10 minutes") -> DataFrame:
     """Stateful duplicate removal whose state expires with the watermark."""
     return events.withWatermark("time_stamp", delay).dropDuplicatesWithinWatermark(keys)

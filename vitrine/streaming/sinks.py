@@ -16,12 +16,13 @@ MODES = ("append", "update", "complete")
 
 def start_stream(df: DataFrame, write: Writer, checkpoint: str, output_mode: str = "append",
                  every: str | None = "10 seconds", report: Callable[[int, int], None] | None = None,
-                 name: str | None = None) -> StreamingQuery:
+                 name: str | None = None, skip_empty: bool = False) -> StreamingQuery:
     """Run `write(batch, batch_id)` for every micro-batch.
 
     A checkpoint is mandatory: without one a restart would reread or lose data.  `every=None` works
     off all available data and stops.  `report(batch_id, rows)` gets the row count of each batch,
-    observed while the batch is written instead of by extra count jobs.
+    observed while the batch is written instead of by extra count jobs.  `skip_empty` leaves batches
+    without rows unwritten; the batch is kept for that, so that a stateful plan runs once.
     """
     if output_mode not in MODES:
         raise ValueError(f"output mode must be one of {MODES}")
@@ -29,6 +30,20 @@ def start_stream(df: DataFrame, write: Writer, checkpoint: str, output_mode: str
         raise ValueError("a checkpoint location is required")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if skip_empty:
+            batch = batch.persist()
+            if batch.isEmpty():
+                batch.unpersist()
+                if report is not None:
+                    report(batch_id, 0)
+                return
+        try:
+            handle(batch, batch_id)
+        finally:
+            if skip_empty:
+                batch.unpersist()
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
         if report is None:
             write(batch, batch_id)
             return
@@ -59,8 +74,11 @@ def to_jdbc(batch_column: str | None = None, **settings) -> Writer:
 
 
 def wait_for_all(queries: list[StreamingQuery]) -> None:
-    """Wait until every query ends; on failure or interrupt, stop the others."""
+    """Wait until every query ends.  The first failure of any, or an interrupt, stops the others."""
     try:
+        while any(query.isActive for query in queries):
+            for query in queries:
+                query.awaitTermination(0.2)  # raises if this one failed
         for query in queries:
             query.awaitTermination()
     finally:

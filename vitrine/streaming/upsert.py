@@ -1,57 +1,102 @@
 """Idempotent incremental tables on plain parquet.
 
-Every micro-batch writes its reduced rows to `<root>/delta/batch=<id>`, replacing what an earlier
-attempt of the same batch left.  A reader combines base and deltas by key; `compact` folds them
-into a new base.  Writing costs what the batch costs: the table is never rewritten per batch.
+Every micro-batch writes its reduced rows to `<root>/delta/run=<n>-<run>/batch=<id>`, replacing what an
+earlier attempt of the same batch left.  A run is a streaming query with its checkpoint: a new
+checkpoint starts a new run, whose batch numbers begin again without touching older ones.  A reader
+combines base and deltas by key; `compact` folds them into a new base.  Writing costs what the batch
+costs: the table is never rewritten per batch.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 Combine = Callable[[DataFrame], DataFrame]
 
+# Order of a stored part: runs by their number, batches within a run.
+RUN = 1 << 40
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names of complete result folders below `path`, through the cluster's file system."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(folder)
-            if fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))]
 
+def run_of(batch: DataFrame) -> str:
+    """Name of the run that a micro-batch belongs to: the id its checkpoint keeps."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
-def _numbers(names: list[str], prefix: str) -> list[int]:
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
+def _matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, by one call of the cluster's file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [s.getPath().toString() for s in found or []]
 
-def write_delta(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/delta/batch={batch_id}")
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_delta(df: DataFrame, root: str, batch_id: int, run: str | None = None) -> None:
+    """Write the rows of a batch.  A run's folder is numbered after all others when it first appears."""
+    spark = df.sparkSession
+    run = run or run_of(df)
+    names = [p.rsplit("/run=", 1)[1] for p in _matches(spark, f"{root}/delta/run=*")]
+    own = [n for n in names if n.split("-", 1)[1] == run]
+    if not own:
+        own = [f"{max([0, *(int(n.split('-', 1)[0]) for n in names)]) + 1}-{run}"]
+    df.write.mode("overwrite").parquet(f"{root}/delta/run={own[0]}/batch={batch_id}")
+
+
+def _deltas(spark: SparkSession, root: str) -> dict[int, str]:
+    """Complete deltas by their order.  A batch without a mark of success is under way if it is its
+    run's newest; below a complete one it means lost rows and is an error."""
+    every = {_order(p): p for p in _matches(spark, f"{root}/delta/run=*/batch=*")}
+    done = {_order(p): every[_order(p)] for p in _matches(spark, f"{root}/delta/run=*/batch=*/_SUCCESS")}
+    for order in every:
+        if order not in done and any(order < d < (order // RUN + 1) * RUN for d in done):
+            raise RuntimeError(f"incomplete batch: {every[order]}")
+    return done
+
+
+def _order(path: str) -> int:
+    run, batch = re.search(r"/run=([0-9]+)-[^/]*/batch=([0-9]+)", path).groups()
+    return int(run) * RUN + int(batch)
+
+
+def _bases(spark: SparkSession, root: str) -> list[int]:
+    """Versions of complete bases: a base counts once the list of what it covers is complete."""
+    return sorted(int(re.search(r"version=([0-9]+)", p)[1])
+                  for p in _matches(spark, f"{root}/covered/version=*/_SUCCESS"))
+
+
+def _covered(spark: SparkSession, root: str, version: int) -> list[int]:
+    return [r["batch"] for r in spark.read.parquet(f"{root}/covered/version={version}").collect()]
 
 
 def stored_parts(spark: SparkSession, root: str) -> tuple[DataFrame | None, int]:
-    """Newest complete base and the deltas after it, with their batch number; and the newest
-    batch."""
-    bases = _numbers(_children(spark, f"{root}/base"), "upto=")
-    deltas = _numbers(_children(spark, f"{root}/delta"), "batch=")
-    upto = bases[-1] if bases else -1
-    fresh = [b for b in deltas if b > upto]
-    parts = []
-    if bases:
-        parts.append(spark.read.parquet(f"{root}/base/upto={upto}").withColumn("batch", F.lit(upto)))
+    """Newest base and the deltas it does not cover, with their order in `batch`; and the newest order."""
+    return _parts(spark, root, _bases(spark, root), _deltas(spark, root))
+
+
+def _parts(spark: SparkSession, root: str, bases: list[int], deltas: dict[int, str]) -> tuple[DataFrame | None, int]:
+    covered = _covered(spark, root, bases[-1]) if bases else []
+    # Per run the newest covered batch: all before it are covered as well.
+    upto = {c // RUN: c for c in sorted(covered)}
+    parts = [spark.read.parquet(f"{root}/base/version={bases[-1]}")
+             .withColumn("batch", F.lit(max(covered)).cast("bigint"))] if bases else []
+    fresh = {o: p for o, p in deltas.items() if o > upto.get(o // RUN, -1)}
     if fresh:
-        paths = [f"{root}/delta/batch={b}" for b in fresh]
-        parts.append(spark.read.option("basePath", f"{root}/delta").parquet(*paths))
+        where = F.input_file_name()
+        order = (F.regexp_extract(where, r"/run=([0-9]+)-", 1).cast("bigint") * RUN
+                 + F.regexp_extract(where, r"/batch=([0-9]+)/", 1).cast("bigint"))
+        parts.append(spark.read.parquet(*fresh.values()).withColumn("batch", order))
     if not parts:
-        return None, upto
+        return None, -1
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out, max([upto, *fresh])
+    return out, max([*covered, *fresh])
 
 
 def read_current(spark: SparkSession, root: str, combine: Combine) -> DataFrame:
@@ -72,10 +117,22 @@ def newest(keys: list[str]) -> Combine:
 
 
 def compact(spark: SparkSession, root: str, combine: Combine) -> int:
-    """Fold everything stored into a new base and return its batch number.  Readers switch to it
-    once it is complete; deltas it covers are ignored from then on and may be expired by the
-    storage's own retention."""
-    stored, upto = stored_parts(spark, root)
-    if stored is not None and f"upto={upto}" not in _children(spark, f"{root}/base"):
-        combine(stored).write.mode("overwrite").parquet(f"{root}/base/upto={upto}")
-    return upto
+    """Fold everything stored into a new base, which covers the newest batch of every run; returns
+    its version.  Readers switch to it once it is complete.  Deltas that the base before it covered
+    are deleted: a reader that started on that one has had a whole compaction to finish."""
+    bases, deltas = _bases(spark, root), _deltas(spark, root)
+    old = _covered(spark, root, bases[-1]) if bases else []
+    stored, _ = _parts(spark, root, bases, deltas)  # what is covered is what was listed
+    newest_of = {o // RUN: o for o in sorted([*old, *deltas])}
+    if stored is None or sorted(newest_of.values()) == sorted(old):
+        return bases[-1] if bases else 0
+    version = (bases[-1] if bases else 0) + 1
+    combine(stored).write.mode("overwrite").parquet(f"{root}/base/version={version}")
+    rows = [(o,) for o in newest_of.values()]
+    spark.createDataFrame(rows, "batch long").coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/covered/version={version}")
+    gone = {c // RUN: c for c in old}
+    for order, path in deltas.items():
+        if order <= gone.get(order // RUN, -1):
+            _delete(spark, path)
+    return version
