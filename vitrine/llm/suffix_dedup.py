@@ -176,13 +176,14 @@ def contexts(asked: DataFrame, texts: DataFrame, length: int, lead: int) -> Data
                                 "suffix binary, prefix binary")
 
 
-FOUND = "part int, id long, mark int, first int, last int, twice boolean, window long, key long"
-FOUND_COLUMNS = [c.split()[0] for c in FOUND.split(", ")]
+# What a bucket hands to a part: stretches (id, mark, first, last) and open windows (id, mark, first,
+# window, key), each as one table of 64-bit numbers.
+FOUND = "part int, stretches binary, windows binary"
 
 
 def resolved(rows: pd.DataFrame, border: np.ndarray, length: int, parts: int) -> pd.DataFrame:
     """Stretches of windows that occur twice among a bucket's contexts.  Of contexts at the border also
-    one of each window (last = -1), to be compared with other buckets."""
+    one of each window, to be compared with other buckets."""
     whole = [p + s for p, s in zip(rows["prefix"], rows["suffix"])]
     sizes = np.array([len(w) for w in whole])
     counts = sizes - length + 1
@@ -206,16 +207,16 @@ def resolved(rows: pd.DataFrame, border: np.ndarray, length: int, parts: int) ->
     begin = np.flatnonzero(flag & (edge | ~np.concatenate([[False], flag[:-1]])))
     end = np.flatnonzero(flag & ~(np.concatenate([flag[1:], [False]]) & ~np.concatenate([edge[1:], [True]])))
     o = owner[begin]
-    out = pd.DataFrame({"part": ids[o] % parts, "id": ids[o], "mark": marks[o], "first": starts[o] + place[begin],
-                        "last": starts[o] + place[end], "twice": True, "window": 0, "key": 0})
+    stretches = np.stack([ids[o], marks[o], starts[o] + place[begin], starts[o] + place[end]], 1).astype("<i8")
     heads = order[new]
     heads = heads[border[owner[heads]]]
     o = owner[heads]
-    open_ = pd.DataFrame({
-        "part": (window[heads] % np.uint64(parts)).astype(np.int64), "id": ids[o], "mark": marks[o],
-        "first": starts[o] + place[heads], "last": -1, "twice": twice[name[heads]],
-        "window": window[heads].view(np.int64), "key": key[heads].view(np.int64)})
-    return pd.concat([out, open_])[FOUND_COLUMNS]
+    open_ = np.stack([ids[o], marks[o], starts[o] + place[heads], window[heads].view(np.int64),
+                      key[heads].view(np.int64)], 1).astype("<i8")
+    to, at = stretches[:, 0] % parts, (window[heads] % np.uint64(parts)).astype(np.int64)
+    used = np.union1d(to, at)
+    return pd.DataFrame({"part": used, "stretches": [stretches[to == i].tobytes() for i in used],
+                         "windows": [open_[at == i].tobytes() for i in used]})
 
 
 def sorted_bucket(length: int, parts: int):
@@ -240,10 +241,24 @@ def sorted_bucket(length: int, parts: int):
 
 def across(group: pd.DataFrame) -> pd.DataFrame:
     """Stretches pass; windows that two buckets have become stretches."""
-    done = group[group["last"] >= 0][["id", "mark", "first", "last"]]
-    left = group[group["last"] < 0]
-    more = left[left.duplicated(["window", "key"], keep=False)][["id", "mark", "first"]]
-    return pd.concat([done, more.assign(last=more["first"])])
+    done = np.frombuffer(b"".join(group["stretches"]), "<i8").reshape(-1, 4)
+    open_ = np.frombuffer(b"".join(group["windows"]), "<i8").reshape(-1, 5)
+    order = np.lexsort((open_[:, 4], open_[:, 3]))
+    same = (open_[order[1:], 3:] == open_[order[:-1], 3:]).all(1)
+    met = np.zeros(len(open_), bool)
+    met[order[1:][same]] = met[order[:-1][same]] = True
+    more = open_[met][:, [0, 1, 2, 2]]
+    return joined(np.concatenate([done, more]))
+
+
+def joined(stretches: np.ndarray) -> pd.DataFrame:
+    """Stretches of one text that touch become one."""
+    s = stretches[np.lexsort((stretches[:, 2], stretches[:, 1], stretches[:, 0]))]
+    new = np.ones(len(s), bool)
+    new[1:] = (s[1:, :2] != s[:-1, :2]).any(1) | (s[1:, 2] > s[:-1, 3] + 1)
+    first = np.flatnonzero(new)
+    last = np.maximum.reduceat(s[:, 3], first) if len(s) else s[:, 3]
+    return pd.DataFrame({"id": s[first, 0], "mark": s[first, 1], "first": s[first, 2], "last": last})
 
 
 def repeats(named: DataFrame, length: int, gram: int) -> DataFrame:
