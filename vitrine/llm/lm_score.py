@@ -9,8 +9,8 @@ right; the state is the word just read (the root if training never saw it).
 
 No task holds the whole automaton.  Documents are dealt by hash into blocks of bounded size.  A
 block sends the sorted keys of its arcs and states with its training counts; the counts of all
-blocks are summed by key range; and each block gets back the part of the automaton its own texts
-walk through.  A count that equals the block's own is not sent back.  So memory follows the block
+blocks are summed by key range; and each block gets back what the others add to its counts, which
+completes the part of the automaton that its own texts walk through.  So memory follows the block
 size, frequent words meet once per block and no counts are dropped.
 
 Defined cases: null and empty texts are the end token alone; rows that repeat are counted and
@@ -131,19 +131,13 @@ def _sums(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]
 
 
 def _answers(counted: DataFrame) -> DataFrame:
-    """For each block the keys whose count over all blocks differs from its own, with that count."""
+    """For each block and key range what the other blocks add to its counts, in the order of its keys."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         every, total, keys, counts = _sums(group)
-        rows = []
-        for block, k, c in zip(group["block"], keys, counts):
-            full = total[np.searchsorted(every, k)]
-            other = full != c
-            if other.any():
-                rows.append((block, group["kind"].iloc[0], pack(k[other]), pack_counts(full[other])))
-        return pd.DataFrame(rows, columns=["block", "kind", "keys", "counts"])
+        more = [pack_counts(total[np.searchsorted(every, k)] - c) for k, c in zip(keys, counts)]
+        return pd.DataFrame({"block": group["block"], "kind": group["kind"], "part": group["part"], "counts": more})
 
-    return counted.groupBy("kind", "part").applyInPandas(
-        run, "block long, kind string, keys binary, counts binary")
+    return counted.groupBy("kind", "part").applyInPandas(run, "block long, kind string, part int, counts binary")
 
 
 def _training_words(documents: DataFrame, size: int) -> tuple[int, int]:
@@ -187,18 +181,16 @@ def score(documents: DataFrame, folds: int = 5, left_out: int = 1, mu: float = 8
     dealt = dealt.select("block", "doc_id", "text", "train")
     answers = _answers(_counted(dealt, pieces(size, 16 << 20), ("state", "arc")))
 
-    def corrected(own: np.ndarray, keys: np.ndarray, got: pd.DataFrame, kind: str) -> np.ndarray:
-        counts = own.astype(np.float64)
-        for k, c in zip(got["keys"][got["kind"] == kind], got["counts"][got["kind"] == kind]):
-            counts[np.searchsorted(keys, unpack(k))] = unpack_counts(c)
-        return counts
+    def corrected(own: np.ndarray, got: pd.DataFrame, kind: str) -> np.ndarray:
+        ranges = got[got["kind"] == kind].sort_values("part")["counts"]
+        return own + np.concatenate([unpack_counts(c) for c in ranges]).astype(np.float64)
 
     def walk(group: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         if not len(group):
             return pd.DataFrame(columns=["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
         b = Block(list(group["text"]), group["train"].to_numpy(dtype=bool))
-        seen = corrected(b.state_counts, b.states, got, "state")
-        arcs = corrected(b.arc_counts, b.arcs, got, "arc")
+        seen = corrected(b.state_counts, got, "state")
+        arcs = corrected(b.arc_counts, got, "arc")
         root = (seen + 0.5) / norm  # arcs of the root, by word
         fail = mu / (seen + mu)  # failure arcs, by state
         # The state before each token, then its arc if training saw the pair, else failure and root.
