@@ -69,19 +69,20 @@ def shingles(line: str, shingle: int) -> Column:
         F.regexp_extract_all(F.col(line), F.lit(f"(?s)(?=(.{{{shingle}}}))"), F.lit(1)), lambda g: F.xxhash64(g))))
 
 
-def verified(pairs: DataFrame, documents: DataFrame, firsts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs of line names whose shingle sets reach the threshold.  Each line's text is taken from
-    the place of its first occurrence."""
-    names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+def candidate_lines(names: DataFrame, documents: DataFrame, firsts: DataFrame) -> DataFrame:
+    """name and line of the given names.  Each line's text is taken from its first occurrence."""
     wanted = (names.join(firsts, "name").groupBy("first.id", "first.mark")
               .agg(F.collect_list(F.struct("first.pos", "name")).alias("places")))
     # The generator keeps the split from being repeated for every place.
-    texts = (_documents(documents).join(wanted, ["id", "mark"])
-             .select("places", F.explode(F.array(F.split("text", "\n"))).alias("lines"))
-             .select("lines", F.explode("places").alias("p"))
-             .select(F.col("p.name").alias("name"), F.element_at("lines", F.col("p.pos") + 1).alias("line"))
-             .dropDuplicates(["name"]))
-    texts = stored(texts, "candidate-lines")
+    return (_documents(documents).join(wanted, ["id", "mark"])
+            .select("places", F.explode(F.array(F.split("text", "\n"))).alias("lines"))
+            .select("lines", F.explode("places").alias("p"))
+            .select(F.col("p.name").alias("name"), F.element_at("lines", F.col("p.pos") + 1).alias("line"))
+            .dropDuplicates(["name"]))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs of line names whose shingle sets reach the threshold."""
     # The shingles of a line are made once for a chunk of its partners.
     size = pairs.groupBy("a").agg(F.ceil(F.count("*") / 50).alias("chunks"))
     cut = pairs.join(size, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("chunks")))
@@ -105,9 +106,12 @@ def repeated_lines(documents: DataFrame, shingle: int = 8, percent: int = 80, ba
                                                     F.count("*").alias("n")), "line-firsts")
     members = stored(band_members(signatures(lines, shingle, bands, rows_), bands, rows_), "line-bands")
     shared = members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
-    members = members.join(shared, "sig", "left_semi")
+    members = stored(members.join(shared, "sig", "left_semi"), "shared-bands")
+    # The texts of candidates are fetched once for all rounds of verification.
+    names = members.select(F.col("node").alias("name")).distinct()
+    texts = stored(candidate_lines(names, documents, firsts), "candidate-lines")
     component, _ = link_groups(
-        members, lambda pairs: verified(pairs, documents, firsts, shingle, percent), "line-links")
+        members, lambda pairs: verified(pairs, texts, shingle, percent), "line-links")
     grouped = (firsts.join(component.withColumnRenamed("node", "name"), "name", "left")
                .withColumn("component", F.coalesce("component", "name")))
     several = (grouped.where((F.col("n") > 1) | (F.col("component") != F.col("name")))

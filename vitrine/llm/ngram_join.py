@@ -235,14 +235,15 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     counts = {r["size"]: r["count"] for r in _size_classes(sets)}
     bands = Bands(counts, sets.agg(F.max("size")).first()[0] or 1, percent)
     named = stored(rows.join(sets, ["high", "low", "size"]).select("id", "node", "size").distinct(), "named-sets")
-    members = (posted(documents, bands, n, pieces(size, 16 << 20)).join(named, "id")
-               .select("sig", "node").distinct())
+    members = stored(posted(documents, bands, n, pieces(size, 16 << 20)).join(named, "id")
+                     .select("sig", "node").distinct(), "signatures")
+    # The texts of candidates are fetched once for all rounds of verification.
+    nodes = members.select("node").distinct()
+    texts = stored(documents.select(row_id().alias("node"), "text").join(nodes, "node").dropDuplicates(["node"]),
+                   "candidate-texts")
     sizes = sets.select("node", "size").groupBy("node").agg(F.max("size").alias("size"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = (documents.select(row_id().alias("node"), "text").join(nodes, "node")
-                 .dropDuplicates(["node"]))
         return verified(pairs, texts, n, percent)
 
     def near(s: str, t: str) -> F.Column:
