@@ -167,6 +167,21 @@ def test_line_signatures_cover_all_chunks(spark):
             assert got[r.name][f"b{b}"] == low or low > 5.0 * 4 * 2**31 / len(r.line)
 
 
+def test_long_lines_that_repeat_themselves_are_linked(spark):
+    rng = np.random.default_rng(6)
+    units = ["".join(rng.choice(list("abcdefghij"), n)) for n in (3, 7, 12, 25, 40, 60) for _ in range(8)]
+    texts = [u * (6000 // len(u)) for u in units]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = line_dedup._lines(frame)
+    exact = {tuple(r) for r in line_dedup._minima(lines, 8, 18, None).drop("size").collect()}
+    assert {tuple(r) for r in line_dedup.signatures(lines, 8, 6, 3).collect()} == exact
+    near = [*texts, *(t + " end" for t in texts)]
+    got = line_dedup.line_counts(spark.createDataFrame(list(enumerate(near)), "doc_id long, text string"))
+    want = brute_lines(enumerate(near))
+    assert sum(map(len, want.values())) > 10
+    assert {r.doc_id: r.removed for r in got.collect() if r.removed} == {i: r for i, r in want.items() if r}
+
+
 def test_line_dedup_is_native(docs):
     frame = line_dedup.line_counts(docs.limit(20))
     plan = frame._jdf.queryExecution().executedPlan().toString()

@@ -11,8 +11,11 @@ the first line of the smallest document stays.
 Cost: signatures are made inside generated code from the shingles of a line's UTF-8 bytes, which are
 cut out in constant time, so a line of any length takes linear time; verification counts characters.
 Of a long line mostly shingles with small hashes are a bin's minimum; the others are dropped before
-the aggregation (a bin goes empty by that with e**-5).  What is shuffled per distinct line is its signature; line texts move only for candidates.  A line found in a
-third of all documents is counted within each task first.
+the aggregation (a bin of unlike shingles goes empty by that with e**-8).  Lines with an empty bin, as long
+lines that repeat themselves have, are done again with every shingle, so the minima are those of all.
+What is shuffled per distinct line is its signature; line texts move only for candidates and, where
+they are too many to broadcast their names, for lines done again.  A line found in a third of all
+documents is counted within each task first.
 
 Defined cases: blank lines are never compared or removed; null and empty texts have no lines and
 stay; rows alike in id and text are one document; a document whose lines are all removed is gone
@@ -37,20 +40,35 @@ def _lines(documents: DataFrame) -> DataFrame:
             .where(F.col("line").rlike(r"\S")).withColumn("name", F.xxhash64("line")))
 
 
-def signatures(lines: DataFrame, shingle: int, bands: int, rows_: int) -> DataFrame:
-    """name and the bin minima b0, b1, ... of every distinct line."""
-    bins = bands * rows_
+def _minima(lines: DataFrame, shingle: int, bins: int, dense: float | None) -> DataFrame:
+    """name, size and the bin minima of every distinct line; with `dense` only minima so small that a
+    line of unlike shingles has about that many in a bin, the others stay null."""
     # Bytes are cut out at a known place, characters would be counted from the line's start.
     raw = lines.select("name", F.col("line").cast("binary").alias("raw"), F.octet_length("line").alias("size"))
     places = F.sequence(F.lit(1), F.greatest(F.col("size") - (shingle - 1), F.lit(1)))
     hashed = raw.select("name", "size", "raw", F.explode(places).alias("at")).select(
-        "name", "size", F.xxhash64(F.substring(F.col("raw"), F.col("at"), F.lit(shingle))).alias("h"))
+        "name", "size", "at", F.xxhash64(F.substring(F.col("raw"), F.col("at"), F.lit(shingle))).alias("h"))
     value = F.shiftrightunsigned("h", 33).cast("int")  # 31 bits
-    limit = F.lit(5.0 * bins * (1 << 31)) / F.col("size")
-    small = (hashed.select("name", F.pmod(F.col("h"), F.lit(bins)).cast("int").alias("bin"), value.alias("v"),
-                           limit.alias("limit")).where(F.col("v") < F.col("limit")))
-    return small.groupBy("name").agg(*[F.min(F.when(F.col("bin") == i, F.col("v"))).alias(f"b{i}")
-                                       for i in range(bins)])
+    dealt = hashed.select("name", "size", "at", F.pmod(F.col("h"), F.lit(bins)).cast("int").alias("bin"), value.alias("v"))
+    if dense is not None:
+        small = F.col("v") < F.lit(dense * bins * (1 << 31)) / F.col("size")
+        # The first shingle stays as a row, so that no line vanishes.
+        dealt = dealt.where(small | (F.col("at") == 1)).withColumn("v", F.when(small, F.col("v")))
+    return dealt.groupBy("name").agg(F.max("size").alias("size"), *[
+        F.min(F.when(F.col("bin") == i, F.col("v"))).alias(f"b{i}") for i in range(bins)])
+
+
+def signatures(lines: DataFrame, shingle: int, bands: int, rows_: int, dense: float = 8.0) -> DataFrame:
+    """name and the bin minima b0, b1, ... of every distinct line, over all its shingles."""
+    bins = bands * rows_
+    names = ["name", *(f"b{i}" for i in range(bins))]
+    first = stored(_minima(lines, shingle, bins, dense), "line-minima")
+    # A bin that is empty may have lost its shingles to the limit: such lines are done again without one.
+    limited = F.col("size") >= int(dense * bins)
+    again = limited & F.array_contains(F.array(*[F.col(n).isNull() for n in names[1:]]), True)
+    open_ = stored(first.where(again).select("name"), "open-lines")
+    long_ = lines.where(F.octet_length("line") >= int(dense * bins)).join(open_, "name", "left_semi")
+    return first.where(~again).select(*names).union(_minima(long_, shingle, bins, None).select(*names))
 
 
 def band_members(signed: DataFrame, bands: int, rows_: int) -> DataFrame:
