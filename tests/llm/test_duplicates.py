@@ -310,6 +310,30 @@ def test_neighbours_recall_when_files_are_cut(spark):
     assert hits >= 0.9 * 300 * 20
 
 
+def neighbour_hits(frame, x, least=64):
+    """Share of the exact neighbours, by score and id, that the index finds."""
+    got = collections.defaultdict(set)
+    for r in permutation_index.nearest(frame, least=least).collect():
+        got[r.query_id].add(r.vec_id)
+    hits, x = 0, x.astype(np.float32).astype(float)
+    for q in range(0, len(x), 20):
+        s = np.round(x @ x[q], 9)
+        s[q] = -np.inf
+        hits += len(set(np.lexsort((np.arange(len(x)), -s))[:20].tolist()) & got[q])
+    return hits / (len(x) / 20 * 20)
+
+
+def vector_frame(spark, x):
+    return spark.createDataFrame([(i, [float(v) for v in r], 0, 0, 0) for i, r in enumerate(x)], VECTORS)
+
+
+def test_neighbours_when_the_first_ids_are_copies(spark):
+    x = np.random.default_rng(5).normal(size=(6000, 24))
+    x[:1000] = x[0] + np.random.default_rng(6).normal(size=(1000, 24)) * 1e-3
+    x[:500] = x[0]
+    assert neighbour_hits(vector_frame(spark, x[:, :24]), x) >= 0.85
+
+
 def test_neighbours_of_nothing(spark):
     assert permutation_index.nearest(spark.createDataFrame([], VECTORS)).count() == 0
 

@@ -9,7 +9,7 @@ their exact inner product in double precision.
 Nearness is the inner product.  Vectors are lifted by one coordinate that makes their lengths equal
 (queries by zero), after which the largest inner product is the nearest vector, as pivots assume.
 
-Pivots are a bounded sample; all rows are indexed.  Files are cut into blocks of bounded size and
+Pivots are `pivots` distinct vectors of a bounded sample, in random order; all rows are indexed.  Files are cut into blocks of bounded size and
 queries of a file into blocks as well; a pair of blocks is one group of work, so a pivot near
 to a third of all vectors is many groups.  Every group returns the `k` best per query.  A file
 shorter than `least` is reranked whole, so small tables are answered exactly by all their rows.
@@ -60,7 +60,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
     total = rows.count()
     longest = float(rows.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v))).first()[0] or 0) ** 0.5
     found = sample(rows, sample_rows, total, 23)
-    found = lift(found, longest)[:pivots] if len(found) else np.zeros((0, 1))
+    # In an order that does not follow the ids, and no vector twice.
+    found = np.unique(found, axis=0) if len(found) else found
+    found = found[np.random.default_rng(23).permutation(len(found))[:pivots]]
+    found = lift(found, longest) if len(found) else np.zeros((0, 1))
     shared = spark.sparkContext.broadcast(found)
 
     def post(files: int, query: bool):
