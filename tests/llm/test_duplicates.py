@@ -334,6 +334,18 @@ def test_neighbours_when_the_first_ids_are_copies(spark):
     assert neighbour_hits(vector_frame(spark, x[:, :24]), x) >= 0.85
 
 
+def test_neighbours_within_a_large_group_of_copies(spark):
+    x = np.random.default_rng(7).normal(size=(6000, 24))
+    x[::3] = x[1]
+    got = collections.defaultdict(list)
+    for r in permutation_index.nearest(vector_frame(spark, x), least=64).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    copies = [1, *range(0, 6000, 3)]
+    for q in range(0, 6000, 60):
+        assert got[q] == [i for i in sorted(copies) if i != q][:20]
+    assert neighbour_hits(vector_frame(spark, x), x) >= 0.9
+
+
 def test_neighbours_of_nothing(spark):
     assert permutation_index.nearest(spark.createDataFrame([], VECTORS)).count() == 0
 

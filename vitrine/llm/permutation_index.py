@@ -4,7 +4,10 @@ A vector is represented by the order in which it sees a set of pivots, nearest f
 posted in the inverted files of its `posted` nearest pivots.  A query reads the files of its
 `probed` nearest pivots, ranks what it finds there by the footrule distance of the two orders (sum
 of the differences of pivot ranks), keeps the nearest share of each file and reranks those by
-their exact inner product in double precision.
+their exact inner product in double precision.  What lies as far as the last one kept stays too.
+
+Equal vectors are merged before they are posted; each stands for its k + 1 smallest ids, of which an
+answer never needs more.
 
 Nearness is the inner product.  Vectors are lifted by one coordinate that makes their lengths equal
 (queries by zero), after which the largest inner product is the nearest vector, as pivots assume.
@@ -52,14 +55,31 @@ def lift(points: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([points, rest[:, None]])
 
 
+def merged(rows: DataFrame, most: int) -> DataFrame:
+    """id, ids and embedding of every distinct vector: its smallest id and its `most` smallest ones.
+    A batch names a vector once, so a hot one meets as one row per batch."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            raw = [(np.asarray(e, dtype=float) + 0.0).tobytes() for e in batch["embedding"]]
+            own = batch["id"].groupby(raw, sort=False)
+            yield pd.DataFrame({"embedding": batch["embedding"].loc[own.head(1).index].tolist(),
+                                "ids": [np.unique(g)[:most].tolist() for _, g in own]})
+
+    some = rows.mapInPandas(run, "embedding array<double>, ids array<long>")
+    ids = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, most)
+    return (some.groupBy("embedding").agg(ids.alias("ids"))
+            .select(F.element_at("ids", 1).alias("id"), "ids", "embedding"))
+
+
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128, posted: int = 8,
             probed: int = 24, share: float = 0.2, least: int = 512, sample_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id and score of the `k` nearest rows of each row with vec_id % every = 0."""
     spark = vectors.sparkSession
     rows = stored(clean(vectors, []).where(F.col("id") > -(1 << 62)), "ann-vectors")
-    total = rows.count()
+    distinct = stored(merged(rows, k + 1), "ann-distinct")
+    total = distinct.count()
     longest = float(rows.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v))).first()[0] or 0) ** 0.5
-    found = sample(rows, sample_rows, total, 23)
+    found = sample(distinct, sample_rows, total, 23)
     # In an order that does not follow the ids, and no vector twice.
     found = np.unique(found, axis=0) if len(found) else found
     found = found[np.random.default_rng(23).permutation(len(found))[:pivots]]
@@ -88,9 +108,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
                 yield batch
         return run
 
-    schema = "id long, embedding array<double>, files array<int>, ranks binary"
-    index = rows.mapInPandas(post(posted, False), schema).withColumn("file", F.explode("files")).drop("files")
-    asked = (rows.where(F.col("id") % every == 0).mapInPandas(post(probed, True), schema)
+    schema = "id long, ids array<long>, embedding array<double>, files array<int>, ranks binary"
+    index = distinct.mapInPandas(post(posted, False), schema).withColumn("file", F.explode("files")).drop("files")
+    asked = (rows.where(F.col("id") % every == 0).select("id", F.array("id").alias("ids"), "embedding").mapInPandas(post(probed, True), schema)
              .withColumn("file", F.explode("files")).drop("files"))
     index, asked = stored(index, "ann-index"), stored(asked, "ann-queries")
     cut = index.groupBy("file").agg(F.ceil(F.count("*") / ROWS).alias("blocks"))
@@ -99,16 +119,18 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
     spread = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
     posts = index.join(cuts, "file").select(
         "file", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("i"), spread("asks").alias("j"),
-        F.lit(False).alias("ask"), "id", "embedding", "ranks")
+        F.lit(False).alias("ask"), "id", "ids", "embedding", "ranks")
     asks = asked.join(cuts, "file").select(
         "file", spread("blocks").alias("i"), F.pmod(F.xxhash64("id"), F.col("asks")).alias("j"),
-        F.lit(True).alias("ask"), "id", "embedding", "ranks")
+        F.lit(True).alias("ask"), "id", "ids", "embedding", "ranks")
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         q, d = group[group["ask"]], group[~group["ask"]]
         if not len(q) or not len(d):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        x, names = matrix(d["embedding"]), d["id"].to_numpy()
+        x, ids = matrix(d["embedding"]), list(d["ids"])
+        many = np.array([len(i) for i in ids])
+        start, names = np.cumsum(many) - many, np.concatenate(ids)
         exact = int(group["file"].iloc[0]) < 0
         rank = None if exact else np.array([np.frombuffer(r, np.uint16) for r in d["ranks"]], np.int16)
         out = []
@@ -116,11 +138,16 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
         for name, e, r in zip(q["id"], q["embedding"], q["ranks"]):
             near = np.arange(len(d))
             if keep < len(d):
-                near = np.argpartition(footrule(rank, np.frombuffer(r, np.uint16).astype(np.int16)), keep)[:keep]
-            near = near[names[near] != name]
-            score = x[near] @ np.asarray(e, dtype=float)
-            best = np.lexsort((names[near], -score))[:k]
-            out.append(pd.DataFrame({"query_id": name, "vec_id": names[near][best], "score": score[best]}))
+                far = footrule(rank, np.frombuffer(r, np.uint16).astype(np.int16))
+                near = np.flatnonzero(far <= np.partition(far, keep - 1)[keep - 1])
+            score, n = x[near] @ np.asarray(e, dtype=float), many[near]
+            # Every vector stands for all its ids.
+            at = np.repeat(start[near] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            own, score = names[at], np.repeat(score, n)
+            own, score = own[own != name], score[own != name]
+            best = np.lexsort((own, -score))
+            best = best[np.sort(np.unique(own[best], return_index=True)[1])[:k]]
+            out.append(pd.DataFrame({"query_id": name, "vec_id": own[best], "score": score[best]}))
         return pd.concat(out)
 
     found = posts.union(asks).groupBy("file", "i", "j").applyInPandas(
