@@ -103,6 +103,20 @@ def test_ngram_join_odd_rows(odd, nothing):
     assert kept.columns == odd.columns and [r.doc_id for r in kept.collect()].count(3) == 1
 
 
+def test_rows_without_ids_or_with_repeated_ones_are_apart(spark):
+    words = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
+    made = [(None, words[0]), (None, words[1]), (None, words[1] + " more"), (7, words[2]), (7, words[3]),
+            (8, words[3] + " more"), (9, words[4]), (None, words[4]), (None, ""), (None, None), (10, words[5])]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    kept = collections.Counter((r.doc_id, r.text) for r in ngram_join.one_of_each(frame).collect())
+    second = kept[(None, words[1])]
+    assert second + kept[(None, words[1] + " more")] == 1
+    want = [made[0], made[1] if second else made[2], *made[3:5], made[6], *made[8:]]
+    assert kept == collections.Counter(want)
+    got = {r.n_shingles and (r.doc_id, r.component_id) for r in ngram_join.near_duplicates(frame).collect()}
+    assert got == {0, (None, None), (7, 7), (8, 7), (9, 9), (None, 9), (10, 10)}
+
+
 # --- lines ---------------------------------------------------------------------------------
 
 def brute_lines(pairs, k=8, percent=80):

@@ -31,7 +31,7 @@ from vitrine.llm.linking import link_groups
 
 
 def _documents(documents: DataFrame) -> DataFrame:
-    return documents.select(row_id().alias("id"), F.hash("text").alias("mark"), "text")
+    return documents.select(row_id().alias("id"), F.xxhash64("text").alias("mark"), "text")
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     follows the text.  Documents that lose every line but blank ones are gone."""
     names = documents.columns
     gone = repeated_lines(documents).select(F.col("id").alias("__i"), F.col("mark").alias("__m"), "removed")
-    marked = documents.withColumns({"__id": row_id(), "__mark": F.hash("text")})
+    marked = documents.withColumns({"__id": row_id(), "__mark": F.xxhash64("text")})
     both = marked.join(gone, (F.col("__id") == F.col("__i")) & (F.col("__mark") == F.col("__m")), "left")
     # The generator keeps the split from being repeated for every line.
     split = both.withColumn("__lines", F.explode(F.array(F.when(

@@ -10,12 +10,14 @@ all its one-deletion neighbours.  The allocation of a band is the cheapest by a
 expected chance matches; it depends on the counts of all sets.
 
 Equal sets are merged first.  Postings are reduced before they are shuffled: a batch names the smallest
-document of each signature, packed in sorted runs, and keeps its other members beside it.  Components
+set of each signature, packed in sorted runs, and keeps its other members beside it.  Components
 come from `linking`, whose candidates are verified exactly on the whole texts' shingles.
 
 Defined cases: texts that are null or without words have an empty set and link with nothing; texts
-with fewer than `n` words are one shingle; rows that repeat an id count as one document whose
-sets are all linked; other columns play no part; empty tables give no rows.
+with fewer than `n` words are one shingle; rows are documents of their own, with ids alike or null: what
+is linked are sets, named by 64-bit hashes, and ids only label components (null only where no member
+has an id; an id repeated with unlike texts may label several); other columns play no part; empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.llm.common import NO_ID, components, map_texts, pieces, row_id, stored, text_bytes
+from vitrine.llm.common import NO_ID, map_texts, pieces, row_id, stored, text_bytes
 from vitrine.llm.linking import link_groups
 from vitrine.llm.lm_score import pack, split_keys, unpack
 from vitrine.llm.sentencepiece_sampling import mixed
@@ -134,40 +136,45 @@ class Bands:
 
 # --- the join ------------------------------------------------------------------------------
 
-def described(documents: DataFrame, n: int) -> DataFrame:
-    """id, set size and a 128-bit hash of the set."""
+def set_name(shingles: np.ndarray) -> int:
+    """A 64-bit name of a set of shingles."""
+    return (xxhash.xxh3_128_intdigest(shingles.tobytes()) & (1 << 64) - 1) - (1 << 63)
+
+
+def _marked(documents: DataFrame) -> DataFrame:
+    """id, a 64-bit mark of the row's columns, and text: what tells rows apart."""
+    others = [c for c in documents.columns if c != "text"]
+    return documents.select(row_id().alias("id"), F.xxhash64("text", F.to_json(F.struct(*others))).alias("mark"), "text")
+
+
+def described(marked: DataFrame, n: int) -> DataFrame:
+    """id, mark, set size and the set's name."""
     def run(texts: list) -> list[list]:
         shingler = Shingler(n)
-        sizes, highs, lows = [], [], []
+        sizes, names = [], []
         for t in texts:
             s = shingler(t)
-            h = xxhash.xxh3_128_intdigest(s.tobytes())
             sizes.append(len(s))
-            highs.append((h >> 64) - (1 << 63))
-            lows.append((h & (1 << 64) - 1) - (1 << 63))
-        return [sizes, highs, lows]
+            names.append(set_name(s))
+        return [sizes, names]
 
-    return map_texts(documents.select(row_id().alias("id"), "text"), "text", "size long, high long, low long", run)
+    return map_texts(marked, "text", "size long, node long", run)
 
 
 def posted(documents: DataFrame, bands: Bands, n: int, parts: int) -> DataFrame:
-    """(sig, id) of all signatures that two or more documents of different sets share."""
+    """(sig, node) of all signatures that two or more different sets share."""
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for number, batch in enumerate(batches):
-            seen: dict[bytes, int] = {}
-            sets: dict[bytes, np.ndarray] = {}
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            sets: dict[int, np.ndarray] = {}
+            for text in batch.column("text").to_pylist():
                 s = shingler(text)
-                if len(s):
-                    key = xxhash.xxh3_128_digest(s.tobytes())
-                    if key not in seen:
-                        sets[key] = bands.signatures(s)
-                    seen[key] = min(doc, seen.get(key, doc))
-            if not seen:
+                if len(s) and (key := set_name(s)) not in sets:
+                    sets[key] = bands.signatures(s)
+            if not sets:
                 continue
-            sigs = np.concatenate([sets[k] for k in seen])
-            docs = np.repeat(np.array([seen[k] for k in seen], np.int64), [len(sets[k]) for k in seen])
+            sigs = np.concatenate(list(sets.values()))
+            docs = np.repeat(np.array(list(sets), np.int64), [len(v) for v in sets.values()])
             order = np.lexsort((docs, sigs))
             sigs, docs = sigs[order], docs[order]
             first = np.concatenate([[True], sigs[1:] != sigs[:-1]])
@@ -189,16 +196,18 @@ def posted(documents: DataFrame, bands: Bands, n: int, parts: int) -> DataFrame:
         sigs = np.concatenate([unpack(s) for s in group["sigs"]])
         docs = np.concatenate([np.frombuffer(d, np.int64) for d in group["docs"]])
         if int(group["kind"].iloc[0]) == 0:
-            order = np.argsort(sigs, kind="stable")
+            order = np.lexsort((docs, sigs))
             sigs, docs = sigs[order], docs[order]
+            new = np.concatenate([[True], (sigs[1:] != sigs[:-1]) | (docs[1:] != docs[:-1])])
+            sigs, docs = sigs[new], docs[new]  # batches may name the same set
             same = sigs[1:] == sigs[:-1]
             keep = np.concatenate([same, [False]]) | np.concatenate([[False], same])
             sigs, docs = sigs[keep], docs[keep]
-        return pd.DataFrame({"sig": sigs.view(np.int64), "id": docs})
+        return pd.DataFrame({"sig": sigs.view(np.int64), "node": docs})
 
-    packed = documents.select(row_id().alias("id"), "text").mapInArrow(
+    packed = documents.select("text").mapInArrow(
         local, "kind int, part int, sigs binary, docs binary")
-    return packed.groupBy("kind", "part").applyInPandas(gather, "sig long, id long")
+    return packed.groupBy("kind", "part").applyInPandas(gather, "sig long, node long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int, chunk: int = 200) -> DataFrame:
@@ -226,22 +235,22 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int, chunk: in
     return one.groupBy("one", "p").cogroup(other.groupBy("h", "q")).applyInPandas(compare, "a long, b long")
 
 
-def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """id, size and component of every row; a component is its smallest id."""
+def linked(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """id, mark, size and node (the set) of every row; node, group (the component of sets) and first, the
+    (is null, id, mark) of the smallest row, of every set that is not empty."""
     size = text_bytes(documents)
-    rows = stored(described(documents, n), "shingle-sets")
-    sets = rows.where("size > 0").groupBy("high", "low", "size").agg(F.min("id").alias("node"))
-    sets = stored(sets, "distinct-sets")
+    marked = _marked(documents)
+    rows = stored(described(marked, n), "shingle-sets")
+    smallest = F.min(F.struct((F.col("id") == NO_ID).alias("none"), "id", "mark"))
+    sets = stored(rows.where("size > 0").groupBy("node").agg(F.max("size").alias("size"), smallest.alias("first")),
+                  "distinct-sets")
     counts = {r["size"]: r["count"] for r in _size_classes(sets)}
     bands = Bands(counts, sets.agg(F.max("size")).first()[0] or 1, percent)
-    named = stored(rows.join(sets, ["high", "low", "size"]).select("id", "node", "size").distinct(), "named-sets")
-    members = stored(posted(documents, bands, n, pieces(size, 16 << 20)).join(named, "id")
-                     .select("sig", "node").distinct(), "signatures")
+    members = stored(posted(documents, bands, n, pieces(size, 16 << 20)).distinct(), "signatures")
     # The texts of candidates are fetched once for all rounds of verification.
-    nodes = members.select("node").distinct()
-    texts = stored(documents.select(row_id().alias("node"), "text").join(nodes, "node").dropDuplicates(["node"]),
+    wanted = members.select("node").distinct().join(sets, "node").select("node", "first.id", "first.mark")
+    texts = stored(marked.join(wanted, ["id", "mark"]).select("node", "text").dropDuplicates(["node"]),
                    "candidate-texts")
-    sizes = sets.select("node", "size").groupBy("node").agg(F.max("size").alias("size"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(pairs, texts, n, percent)
@@ -249,13 +258,19 @@ def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     def near(s: str, t: str) -> F.Column:
         return F.least(s, t) * 100 >= F.greatest(s, t) * percent
 
-    component, links = link_groups(members, verify, "ngram-links", sizes, near)
-    # Ids with several sets tie those sets together.
-    edges = (named.select(F.col("id").alias("a"), F.col("node").alias("b"))
-             .union(component.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-    final = components(edges, "ngram-components")
-    return rows.select("id", "size").join(final, F.col("id") == F.col("node"), "left").select(
-        "id", "size", F.when(F.col("size") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component"))
+    component, _ = link_groups(members, verify, "ngram-links", sets.select("node", "size"), near)
+    grouped = sets.join(component, "node", "left").select(
+        "node", F.coalesce("component", "node").alias("group"), "first")
+    return rows, stored(grouped, "ngram-groups")
+
+
+def join(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """id, size and component of every row; a component is its smallest id."""
+    rows, sets = linked(documents, n, percent)
+    labels = sets.groupBy("group").agg(F.min("first").alias("label")).select("group", "label.id")
+    labels = sets.select("node", "group").join(labels, "group").select("node", F.col("id").alias("component"))
+    return rows.join(labels, "node", "left").select(
+        "id", "size", F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
 
 
 def _size_classes(sets: DataFrame) -> list:
@@ -272,8 +287,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest id of every group, with its own columns."""
+    """Of every group the document with the smallest id, and every document without words, with its
+    own columns."""
     names = documents.columns
-    kept = join(documents, n, percent).where("id = component").select(F.col("id").alias("__id")).distinct()
-    return (documents.withColumn("__id", row_id()).join(kept, "__id", "left_semi")
-            .dropDuplicates(["__id"]).select(*names))
+    rows, sets = linked(documents, n, percent)
+    kept = sets.groupBy("group").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias("__id"), F.col("first.mark").alias("__mark"), F.lit(True).alias("__one"))
+    empty = rows.where("size = 0").select(
+        F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.lit(False).alias("__one")).distinct()
+    others = [c for c in names if c != "text"]
+    marked = documents.withColumns({"__id": row_id(), "__mark": F.xxhash64("text", F.to_json(F.struct(*others)))})
+    both = marked.join(kept.union(empty), ["__id", "__mark"])
+    # Rows with one id and mark are alike in all columns.
+    return (both.where("__one").dropDuplicates(["__id", "__mark"]).select(*names)
+            .union(both.where("not __one").select(*names)))

@@ -123,12 +123,12 @@ def multikey_quicksort(suffixes: list[bytes]) -> list[int]:
 
 # --- the steps -----------------------------------------------------------------------------
 
-RUN = "id long, mark int, first int, last int, anchor int, key long, context long"
+RUN = "id long, mark long, first int, last int, anchor int, key long, context long"
 
 
 def all_runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """One row per run: document, first and last window, anchor and its hash, hash of the context."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     names = [c.split()[0] for c in RUN.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def contexts(asked: DataFrame, texts: DataFrame, length: int, lead: int) -> Data
             for doc, mark, text, own in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "text", "runs"))):
                 raw, n = text.encode("utf-8", "replace"), len(own)
                 yield pa.RecordBatch.from_pydict({
-                    "id": pa.array([doc] * n, pa.int64()), "mark": pa.array([mark] * n, pa.int32()),
+                    "id": pa.array([doc] * n, pa.int64()), "mark": pa.array([mark] * n, pa.int64()),
                     "first": pa.array([r["first"] for r in own], pa.int32()),
                     "key": pa.array([r["key"] for r in own], pa.int64()),
                     "twice": pa.array([r["twice"] for r in own], pa.bool_()),
@@ -172,7 +172,7 @@ def contexts(asked: DataFrame, texts: DataFrame, length: int, lead: int) -> Data
                     "suffix": [raw[r["anchor"]:r["last"] + length] for r in own],
                     "prefix": [raw[r["first"]:r["anchor"]] for r in own]})
 
-    return both.mapInArrow(run, "id long, mark int, first int, key long, twice boolean, lead binary, "
+    return both.mapInArrow(run, "id long, mark long, first int, key long, twice boolean, lead binary, "
                                 "suffix binary, prefix binary")
 
 
@@ -277,13 +277,13 @@ def repeats(named: DataFrame, length: int, gram: int) -> DataFrame:
     suffixes = contexts(asked, named, length, min(LEAD, gram)).withColumn("salt", F.xxhash64("suffix", "prefix"))
     found = (suffixes.repartitionByRange(pieces(count, BUCKET), "lead", "salt").drop("salt")
              .mapInPandas(sorted_bucket(length, parts), FOUND))
-    return found.groupBy("part").applyInPandas(across, "id long, mark int, first int, last int").union(whole)
+    return found.groupBy("part").applyInPandas(across, "id long, mark long, first int, last int").union(whole)
 
 
 def remove_repeats(documents: DataFrame, length: int = 400, gram: int = 64) -> DataFrame:
     """id, text without its repeated bytes, and the counts of what was removed, for every row.
     The text comes as bytes, since a cut may fall inside a character."""
-    named = documents.select(row_id().alias("id"), F.hash(whole_text()).alias("mark"), whole_text().alias("text"))
+    named = documents.select(row_id().alias("id"), F.xxhash64(whole_text()).alias("mark"), whole_text().alias("text"))
     spans = repeats(named, length, gram).groupBy("id", "mark").agg(
         F.collect_set(F.struct("first", "last")).alias("spans")).select(
         F.col("id").alias("i"), F.col("mark").alias("m"), "spans")
