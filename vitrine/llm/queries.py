@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import embedding_dedup, language_id, line_dedup, lm_score, mixing, ngram_join
-from vitrine.llm import permutation_index, sentencepiece_sampling, suffix_dedup, wavelet
+from vitrine.llm import embedding_dedup, language_id, line_dedup, lm_score, merkle, mixing, ngram_join
+from vitrine.llm import permutation_index, sentencepiece_sampling, suffix_dedup, url_reputation, wavelet
 from vitrine.llm.common import TOKENIZERS, table
+from vitrine.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,8 +55,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op12_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("lower")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_line_dedup, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op7_ngram_join,
-    op8_lm_scoring, op9_language_id, op10_suffix_dedup)}
+    op8_lm_scoring, op9_language_id, op10_suffix_dedup, op12_url_reputation, op13_merkle)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
