@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import embedding_dedup, language_id, line_dedup, lm_score, merkle, mixing, ngram_join
-from vitrine.llm import permutation_index, sentencepiece_sampling, suffix_dedup, url_reputation, wavelet
+from vitrine.llm import cross_tokenizer, embedding_dedup, language_id, line_dedup, lm_score, merkle, mixing
+from vitrine.llm import ngram_join, permutation_index, sentencepiece_sampling, suffix_dedup, url_reputation, wavelet
 from vitrine.llm.common import TOKENIZERS, table
 from vitrine.llm.oracles import ORACLES
 
@@ -55,6 +55,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokenizer.token_alignment(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json",
+                                           f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op12_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("lower")
 
@@ -65,6 +70,6 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_line_dedup, op3_embedding_dedup, op4_sentencepiece, op5_nearest, op6_token_files, op7_ngram_join,
-    op8_lm_scoring, op9_language_id, op10_suffix_dedup, op12_url_reputation, op13_merkle)}
+    op8_lm_scoring, op9_language_id, op10_suffix_dedup, op11_token_alignment, op12_url_reputation, op13_merkle)}
 
 __all__ = ["ORACLES", "QUERIES"]
