@@ -392,7 +392,7 @@ def token_alignment(documents: DataFrame, a_file: str, b_model: str) -> DataFram
     found = align_texts(documents, a_file, b_model)
     each = (found.where(F.col("pairs").isNotNull())
             .select("chunk", F.posexplode("pairs").alias("number", "pair"))
-            .join(pair_totals(found), "pair").select("chunk", "number", "n", "best"))
+            .join(pair_totals(found), "pair").select(F.col("chunk").alias("at"), "number", "n", "best"))
 
     def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
         order = np.argsort(counts.column("number").to_numpy())
@@ -406,4 +406,4 @@ def token_alignment(documents: DataFrame, a_file: str, b_model: str) -> DataFram
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     schema = ", ".join(f"{f} {'string' if f == 'groups_sha256' else 'long'}" for f in names)
     return (found.where(F.col("pairs").isNull()).drop("pairs", "times").groupBy("chunk")
-            .cogroup(each.groupBy("chunk")).applyInArrow(run, schema))
+            .cogroup(each.groupBy("at")).applyInArrow(run, schema))
