@@ -10,7 +10,7 @@ need nothing from each other.  All pieces of a slice of texts advance together,
 time, so one long text is as many pieces as many short ones.  A group that a diagonal cuts is stitched by
 numbering the closed groups of all pieces in order.
 
-Encoding takes each distinct unit of a slice through both libraries once.  A unit ends before a blank or
+Encoding takes each distinct unit of a slice through both vocabularies once.  A unit ends before a blank or
 line break that follows other text; no A token crosses that, and no B token either unless the model has
 a piece with such a place inside, which is looked up.  Units whose bytes are not those of their text
 send their whole texts through the libraries.
@@ -29,6 +29,7 @@ empty table gives no rows; other columns play no part.
 from __future__ import annotations
 
 import functools
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,6 +37,7 @@ from hashlib import sha256
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -47,6 +49,10 @@ from vitrine.llm.wavelet import visible_bytes
 # Python and the A library see other white space alike, but not these separators.
 ODD = re.compile("[\x1c-\x1f]")
 UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
+# Fixed value: the byte-level pattern of the library.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BLANK = "\u2581"  # stands for a blank in B's pieces
+ROW = 2000  # units encoded at once
 WORK = 64  # steps of a piece
 
 
@@ -97,27 +103,47 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Tokens:
-    """Ids of numbered units, one after another."""
+    """Ids of numbered units."""
 
     def __init__(self) -> None:
         self.parts: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
         self.held = 0
-
-    def add(self, found: list[list[int]]) -> None:
-        self.sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        self.parts.append(np.fromiter(chain.from_iterable(found), np.int32, int(self.sizes[-1].sum())))
-        self.held += len(self.parts[-1])
+        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, units: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """`ids` of the units in turn, so many of each as `counts` says."""
+        need = int(units.max(initial=-1)) + 1
+        if need > len(self.starts):
+            self.starts, self.counts = (np.concatenate([x, np.zeros(2 * need - len(x), np.int64)])
+                                        for x in (self.starts, self.counts))
+        self.starts[units] = self.held + np.cumsum(counts) - counts
+        self.counts[units] = counts
+        self.parts.append(ids.astype(np.int32))
+        self.held += len(ids)
 
     def of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a list of units, and how many each has."""
-        self.parts, self.sizes = [np.concatenate(self.parts)], [np.concatenate(self.sizes)]
-        counts, starts = self.sizes[0][units], (np.cumsum(self.sizes[0]) - self.sizes[0])[units]
-        return self.parts[0][ragged(starts, counts)], counts
+        self.parts = [np.concatenate([np.zeros(0, np.int32), *self.parts])]
+        counts = self.counts[units]
+        return self.parts[0][ragged(self.starts[units], counts)], counts
+
+
+class Numbers(dict):
+    """Numbers of units, given at their first use; `new` lists them until they are encoded."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.count, self.new = 0, []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = self.count
+        self.count += 1
+        self.new.append(unit)
+        return number
 
 
 class Tokenizers:
-    """Both libraries and the units they have encoded."""
+    """Both vocabularies and the units they have encoded."""
 
     def __init__(self, a_file: str, b_model: str, cache: int = 400_000) -> None:
         import sentencepiece
@@ -129,27 +155,21 @@ class Tokenizers:
         back = {c: i for i, c in enumerate(visible_bytes())}
         self.a_bytes = {i: bytes(back[c] for c in w) for w, i in self.a.get_vocab(False).items() if all(c in back for c in w)}
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = {i: bytes([int(w[3:5], 16)]) if self.b.is_byte(i) else w.replace("▁", " ").encode()
+        self.b_bytes = {i: bytes([int(w[3:5], 16)]) if self.b.is_byte(i) else w.replace(BLANK, " ").encode()
                         for i, w in enumerate(names) if not (self.b.is_control(i) or self.b.is_unknown(i))}
-        self.blank = next((i for i, w in enumerate(names) if w == "▁"), -1)
-        whole = [w.replace("▁", " ") for i, w in enumerate(names) if i in self.b_bytes and not self.b.is_byte(i)]
+        self.blank = next((i for i, w in enumerate(names) if w == BLANK), -1)
+        whole = [w.replace(BLANK, " ") for i, w in enumerate(names) if i in self.b_bytes and not self.b.is_byte(i)]
         # With such a piece, or one with a line break, texts are not cut.
         self.cuts = not any("\n" in w or re.search("[^ ] ", w) for w in whole)
-        self.a_size = self._sizes(self.a_bytes)
-        self.b_size = self._sizes(self.b_bytes)
+        self.b_list = [self.b_bytes.get(i, b"") for i in range(len(names))]
+        self.a_size, self.b_size = sizes_of(self.a_bytes), sizes_of(self.b_bytes)
+        self.quick = ranked(json.loads(self.a.to_str()), self.a_bytes)
         self.cache = cache
         self.clear()
 
-    @staticmethod
-    def _sizes(table: dict[int, bytes]) -> np.ndarray:
-        out = np.zeros(max(table) + 1, np.int64)
-        out[list(table)] = [len(x) for x in table.values()]
-        return out
-
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.bad: set[int] = set()
-        self.a_ids, self.b_ids, self.units = Tokens(), Tokens(), 0
+        self.known, self.bad = Numbers(), set()
+        self.a_ids, self.b_ids = Tokens(), Tokens()
 
     def pair(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
         """A and B ids of texts that follow a blank, and whether both give back blank and text."""
@@ -169,42 +189,86 @@ class Tokenizers:
         return (b"".join([a_bytes.get(i, b"") for i in a]) == raw
                 and b"".join([b_bytes.get(i, b"") for i in b]) == raw)
 
-    def _add(self, a: list[list[int]], b: list[list[int]], good: list[bool]) -> None:
-        self.bad.update(self.units + k for k, g in enumerate(good) if not g)
-        self.a_ids.add(a), self.b_ids.add(b)
-        self.units += len(a)
+    def _add(self, units: list[int], a: list[list[int]], b: list[list[int]], good: list[bool]) -> None:
+        self.bad.update(u for u, g in zip(units, good) if not g)
+        for tokens, lists in ((self.a_ids, a), (self.b_ids, b)):
+            counts = np.fromiter(map(len, lists), np.int64, len(lists))
+            tokens.add(np.array(units, np.int64), np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts)
+
+    def _learn_row(self, units: list[str]) -> bool:
+        """Encode units one behind the other in one text, in which no token crosses their borders.  False
+        if that is not so."""
+        text = " x" + "".join(units)
+        a, b = self.quick.encode_ordinary(text), self.b.encode(text[1:])
+        raw = text.encode()
+        if self.quick.decode_bytes(a) != raw or b"".join(map(self.b_list.__getitem__, b)) != raw:
+            return False
+        ends = np.cumsum([2, *(len(u.encode()) for u in units)])
+        found = []
+        for ids, size in ((np.array(a), self.a_size), (np.array(b), self.b_size)):
+            at = np.cumsum(size[ids])
+            upto = np.searchsorted(at, ends)
+            if (at[upto] != ends).any():
+                return False
+            found.append((ids[upto[0] + 1:], np.diff(upto)))
+        numbers = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        self.a_ids.add(numbers, *found[0]), self.b_ids.add(numbers, *found[1])
+        return True
 
     def _learn(self, units: list[str]) -> None:
-        """Number and encode new units, each of which begins with a blank or a line break."""
-        blanks, lines = [u for u in units if u[0] == " "], [u for u in units if u[0] != " "]
-        for made, run in (([u[1:] for u in blanks], self.pair), (lines, self.pair_of_lines)):
-            if made:
-                self._add(*run(made))
-        self.known.update(zip(blanks + lines, range(self.units - len(units), self.units)))
+        """Encode new units, each of which begins with a blank or a line break.  Those that end in white space
+        or hold B's own blank sign stand alone."""
+        plain = [u for u in units if not u[-1].isspace() and BLANK not in u] if self.quick else []
+        rows = [plain[i:i + ROW] for i in range(0, len(plain), ROW)]
+        done = {u for row in rows if self._learn_row(row) for u in row}
+        rest = [u for u in units if u not in done]
+        for some, first, run in (([u for u in rest if u[0] == " "], 1, self.pair), ([u for u in rest if u[0] != " "], 0, self.pair_of_lines)):
+            if some:
+                self._add([self.known[u] for u in some], *run([u[first:] for u in some]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A ids and B ids of all texts in turn, and how many of each every text has."""
-        if len(self.known) > self.cache or self.a_ids.held > 16 * self.cache:
+        if self.known.count > self.cache or self.a_ids.held > 16 * self.cache:
             self.clear()
-        cut = [UNIT.findall(" " + t) if t and self.cuts and not ODD.search(t) else [] for t in texts]
-        new = set().union(*cut) - self.known.keys()
-        if new:
-            self._learn(sorted(new))
-        rows = [[self.known[u] for u in units] for units in cut]
+        number = self.known.__getitem__
+        rows = [list(map(number, UNIT.findall(" " + t))) if t and self.cuts and not ODD.search(t) else [] for t in texts]
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
         whole = [k for k, row in enumerate(rows) if texts[k] and not (row and self.bad.isdisjoint(row))]
         for k in whole:
             a, b, (good,) = self.pair([texts[k]])
-            rows[k] = [self.units]
-            self._add(a if good else [[]], b if good else [[]], [True])
-        if not self.units:
-            none = np.zeros(0, np.int32)
-            return none, none, np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+            rows[k] = [self.known.count]
+            self.known.count += 1
+            self._add(rows[k], a if good else [[]], b if good else [[]], [True])
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         units = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
         (a, a_counts), (b, b_counts) = self.a_ids.of(units), self.b_ids.of(units)
         return a, b, sums(a_counts, sizes), sums(b_counts, sizes)
 
 
+def sizes_of(table: dict[int, bytes]) -> np.ndarray:
+    out = np.zeros(max(table) + 1, np.int64)
+    out[list(table)] = [len(x) for x in table.values()]
+    return out
+
+
+def ranked(spec: dict, words: dict[int, bytes]):
+    """The A vocabulary as an encoder by ranks, which is several times as fast as by merge rules and gives
+    the same ids where merged tokens are numbered in the order of their rules; None where they are not
+    or where texts are prepared otherwise than by the byte-level pattern."""
+    import tiktoken
+
+    before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = (before.get("type"), before.get("add_prefix_space"), before.get("use_regex", True)) == ("ByteLevel", False, True)
+    merged = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+    if spec.get("normalizer") or not plain or any(x >= y for x, y in zip(merged, merged[1:])):
+        return None
+    special = {t["id"] for t in spec.get("added_tokens") or []}
+    return tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={},
+                             mergeable_ranks={w: i for i, w in words.items() if i not in special})
+
+
 def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of the given sizes."""
     upto = np.concatenate([[0], np.cumsum(values)])
@@ -292,7 +356,8 @@ class Pairs:
 
     def number(self, links: np.ndarray) -> np.ndarray:
         """Count links and return the numbers of their pairs; frequent new ones get small numbers."""
-        keys, inverse, counts = np.unique(links, return_inverse=True, return_counts=True)
+        codes, keys = pd.factorize(links)
+        counts = np.bincount(codes, minlength=len(keys))
         at = np.searchsorted(self.keys, keys)
         have = at < len(self.keys)
         have[have] = self.keys[at[have]] == keys[have]
@@ -306,7 +371,7 @@ class Pairs:
         self.keys, self.numbers = self.keys[order], self.numbers[order]
         self.counts = np.concatenate([self.counts, np.zeros(len(fresh), np.int64)])
         self.counts[numbers] += counts
-        return numbers[inverse.reshape(-1)]
+        return numbers[codes]
 
     def listed(self) -> np.ndarray:
         out = np.empty(len(self.keys), np.int64)
