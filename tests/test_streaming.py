@@ -1,6 +1,8 @@
 """Streams give what batches give, in any cut of the input, with replays and restarts."""
 
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from vitrine.operators.mergeable import TABLES
 from vitrine.operators.parse import parse_events
 from vitrine.operators.products import build_dim_product
 from vitrine.sources.files import read_json_lines, stream_json_lines
-from vitrine.streaming import jobs, sinks, upsert
+from vitrine.streaming import jobs, log, sinks, upsert
 
 
 @pytest.fixture(scope="module")
@@ -73,8 +75,9 @@ def test_replayed_batch_and_restart_change_nothing(spark, lines, tmp_path):
     assert rows_of(jobs.read_table(spark, root, "dim_product")) == expected
 
 
-def stream_ids(spark, root, table="dim_product"):
-    return [p.rsplit("/run=", 1)[1].split("-", 1)[1] for p in upsert._matches(spark, f"{root}/{table}/delta/run=*")]
+def stream_ids(spark, root):
+    return [json.loads(log.read_text(spark, f"{root}/_log/{n}"))["run"]
+            for n in log.listed(spark, f"{root}/_log") if n.startswith("run-")]
 
 
 def test_checkpoint_reset_after_compaction_loses_nothing(spark, tmp_path):
@@ -94,19 +97,110 @@ def test_checkpoint_reset_after_compaction_loses_nothing(spark, tmp_path):
     assert upsert.compact(spark, root, combine) == 2
     upsert.write_delta(row("late", "d"), root, 1, "second")
     assert rows_of(upsert.read_current(spark, root, combine)) == sorted([*want, ("late", "d")])
-    assert not upsert._matches(spark, f"{root}/delta/run=*-first/batch=*")
-    assert upsert._matches(spark, f"{root}/delta/run=*-third/batch=*")
+    runs = sorted(int(n[6:26]) // log.RUN for n in log.listed(spark, f"{root}/rows") if n.startswith("batch-"))
+    assert runs == [2, 2, 3]  # the first run's rows are in the base that readers used before
+    assert sorted(log.snapshot(spark, root).deltas("rows")) == [2 * log.RUN + 1]
 
 
-def test_incomplete_batches(spark, tmp_path):
+def five_rows(spark, name):
+    return spark.createDataFrame([(f"{name}{i}", name) for i in range(5)], "k string, v string")
+
+
+def test_two_writers_at_once_lose_nothing(spark, tmp_path):
+    """Runs that appear together, and writers that share a run and a batch."""
+    for trial in range(3):
+        root, start = str(tmp_path / f"t{trial}"), threading.Barrier(4)
+
+        def write(name, run):
+            start.wait()
+            return upsert.write_delta(five_rows(spark, name), root, 0, run)
+
+        with ThreadPoolExecutor(4) as pool:
+            jobs_ = [pool.submit(write, *x) for x in (("a", "one"), ("b", "two"), ("c", "three"), ("c", "three"))]
+            done = [j.result() for j in jobs_]
+        assert done[0] and done[1] and sorted(done[2:]) == [False, True]
+        assert rows_of(upsert.read_current(spark, root, upsert.newest(["k"]))) == sorted(
+            (f"{n}{i}", n) for n in "abc" for i in range(5))
+        assert sorted(stream_ids(spark, root)) == ["one", "three", "two"]
+
+
+def test_create_absent_gives_a_name_once(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: log.create_absent(spark, f"{tmp_path}/l/x.json", str(i) * 5000), range(16)))
+    assert sum(won) == 1 and log.read_text(spark, f"{tmp_path}/l/x.json") == str(won.index(True)) * 5000
+    assert [n for n in log.listed(spark, f"{tmp_path}/l") if not n.endswith(".crc")] == ["x.json"]
+    # The way of file systems without links.
+    for want in (True, False):
+        log._write(spark, f"{tmp_path}/l/draft", "y")
+        assert log._take_rename(spark, f"{tmp_path}/l/draft", f"{tmp_path}/l/y.json") is want
+
+
+def test_crashed_writer_is_not_read_and_is_retried(spark, tmp_path, monkeypatch):
+    root, combine = str(tmp_path / "t"), upsert.newest(["k"])
+    upsert.write_delta(five_rows(spark, "a"), root, 0, "r")
+
+    def crash(*args):
+        raise OSError("planned")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(log, "commit_batch", crash)
+        with pytest.raises(OSError):
+            upsert.write_delta(five_rows(spark, "b"), root, 1, "r")
+    assert upsert.read_current(spark, root, combine).count() == 5
+    assert upsert.write_delta(five_rows(spark, "b"), root, 1, "r")
+    assert not upsert.write_delta(five_rows(spark, "other"), root, 1, "r")  # delivered again
+    assert upsert.read_current(spark, root, combine).count() == 10
+    assert upsert.remove_abandoned(spark, root, ["rows"]) == []
+    assert len(upsert.remove_abandoned(spark, root, ["rows"], older_hours=-1)) == 1
+    assert upsert.read_current(spark, root, combine).count() == 10
+
+
+def test_crash_between_tables_shows_none_of_them(spark, tmp_path):
+    root = str(tmp_path / "w")
+    upsert.write_tables({"x": five_rows(spark, "a"), "y": five_rows(spark, "b")}, root, 0, "r")
+    bad = five_rows(spark, "c").withColumn("v", F.raise_error(F.lit("planned")).cast("string"))
+    with pytest.raises(Exception, match="planned"):
+        upsert.write_tables({"x": five_rows(spark, "c"), "y": bad}, root, 1, "r")
+    for table in "xy":
+        assert upsert.read_current(spark, root, lambda s: s, table).count() == 5
+
+
+def test_reader_during_compaction(spark, tmp_path, monkeypatch):
+    """A reader keeps its snapshot while bases are made and older ones go; a batch that commits meanwhile
+    is in no base and not lost; of two compactions at once one counts."""
     root, combine = str(tmp_path / "t"), upsert.newest(["k"])
     for batch in (0, 1):
-        upsert.write_delta(spark.createDataFrame([(str(batch), "v")], "k string, v string"), root, batch, "r")
-    (tmp_path / "t/delta/run=1-r/batch=1/_SUCCESS").unlink()
-    assert rows_of(upsert.read_current(spark, root, combine)) == [("0", "v")]
-    upsert.write_delta(spark.createDataFrame([("2", "v")], "k string, v string"), root, 2, "r")
-    with pytest.raises(RuntimeError):
-        upsert.read_current(spark, root, combine)
+        upsert.write_delta(five_rows(spark, f"a{batch}"), root, batch, "r")
+    early = upsert.read_current(spark, root, combine)
+    assert upsert.compact(spark, root, combine) == 1
+    assert early.count() == 10
+    commit = log.commit_base
+
+    def late(*args):
+        upsert.write_delta(five_rows(spark, "late"), root, 3, "r")
+        monkeypatch.setattr(log, "commit_base", commit)
+        assert upsert.compact(spark, root, combine) == 2  # another compaction is faster
+        return commit(*args)
+
+    upsert.write_delta(five_rows(spark, "a2"), root, 2, "r")
+    middle = upsert.read_current(spark, root, combine)
+    monkeypatch.setattr(log, "commit_base", late)
+    upsert.compact(spark, root, combine)
+    assert middle.count() == 15 and upsert.read_current(spark, root, combine).count() == 20
+    assert len([n for n in log.listed(spark, f"{root}/rows") if n.startswith("base-")]) == 2
+
+
+def test_compaction_keeps_the_order_of_rows(spark, tmp_path):
+    """A late batch of an older run is newer than that run's folded rows, and older than those of later runs."""
+    root, combine = str(tmp_path / "t"), upsert.newest(["k"])
+
+    def put(key, value, batch, run):
+        upsert.write_delta(spark.createDataFrame([(key, value)], "k string, v string"), root, batch, run)
+
+    put("x", "1", 0, "a"), put("y", "1", 0, "b"), put("z", "1", 0, "a2")
+    upsert.compact(spark, root, combine)
+    put("x", "2", 1, "a"), put("y", "2", 1, "a")
+    assert rows_of(upsert.read_current(spark, root, combine)) == [("x", "2"), ("y", "1"), ("z", "1")]
 
 
 def test_failure_of_any_stream_is_noticed(spark, folder, tmp_path):
@@ -144,7 +238,7 @@ def test_empty_batches_are_not_written(spark, four_files, tmp_path):
     seen = []
     sinks.start_stream(events, lambda df, n: upsert.write_delta(df, f"{tmp_path}/t", n), f"{tmp_path}/cp", every=None,
                        report=lambda n, rows: seen.append(rows), skip_empty=True).awaitTermination()
-    assert seen and not any(seen) and not upsert._matches(spark, f"{tmp_path}/t/delta/run=*")
+    assert seen and not any(seen) and not log.listed(spark, f"{tmp_path}/t")
 
 
 def test_complete_mode(spark, four_files, tmp_path):

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,8 +16,9 @@ from vitrine.operators.parse import parse_events
 from vitrine.operators.products import build_dim_prd, build_dim_product
 from vitrine.operators.quality import audit_rows
 from vitrine.plans.measures import is_view, rows
+from vitrine.streaming.log import Snapshot
 from vitrine.streaming.sinks import Writer, start_stream
-from vitrine.streaming.upsert import compact, read_current, run_of, write_delta
+from vitrine.streaming.upsert import compact, read_current, run_of, write_tables
 
 # Builder and output mode of the one-query-per-dimension form.
 DIMENSIONS = {
@@ -47,7 +46,7 @@ def start_dimension_streams(json_stream: DataFrame, writer_for, checkpoint_root:
 
 
 def warehouse_writer(root: str, names: list[str], audit: bool = True) -> Writer:
-    """Batch writer that parses once and adds the batch's delta to every table."""
+    """Batch writer that parses once and adds the batch's delta to every table, or to none."""
     fields = needed_fields(names)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -57,18 +56,11 @@ def warehouse_writer(root: str, names: list[str], audit: bool = True) -> Writer:
             if events.isEmpty():
                 return
 
-            def store(name: str) -> None:
-                write_delta(TABLES[name].reduce(events), f"{root}/{name}", batch_id, run)
-
-            jobs = [lambda name=name: store(name) for name in names]
+            # The tables are independent, so their small jobs overlap; one entry commits them all.
+            tables = {name: TABLES[name].reduce(events) for name in names}
             if audit:
-                jobs.append(lambda: write_delta(
-                    audit_rows(events, "events", batch_id), f"{root}/audit", batch_id, run))
-            # The tables are independent: their small jobs overlap on the cluster.
-            with ThreadPoolExecutor(max_workers=4) as pool:
-                done = [pool.submit(inheritable_thread_target(batch.sparkSession)(job)) for job in jobs]
-                for job in done:
-                    job.result()
+                tables["audit"] = audit_rows(events, "events", batch_id)
+            write_tables(tables, root, batch_id, run)
         finally:
             events.unpersist()
 
@@ -83,17 +75,18 @@ def start_warehouse_stream(json_stream: DataFrame, root: str, checkpoint: str,
                         "append", every)
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, name: str, seen: Snapshot | None = None) -> DataFrame:
+    """A table as it is now, or as it was when `seen` was taken: tables read from one snapshot belong together."""
     table = TABLES[name]
-    return table.finish(read_current(spark, f"{root}/{name}", table.combine))
+    return table.finish(read_current(spark, root, table.combine, name, seen))
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    return read_current(spark, f"{root}/audit", lambda stored: stored.drop("batch"))
+    return read_current(spark, root, lambda stored: stored, "audit")
 
 
 def compact_table(spark: SparkSession, root: str, name: str) -> int:
-    return compact(spark, f"{root}/{name}", TABLES[name].combine)
+    return compact(spark, root, TABLES[name].combine, name)
 
 
 def windowed_views(events: DataFrame, size: str, slide: str | None = None,
@@ -148,29 +141,55 @@ def whole_windows(parts: DataFrame, by: list[str] | None = None, delay: str = "1
             .withColumn("closed", _closed("window_end", parts, delay)))
 
 
+def _seconds(length: str) -> Column:
+    """Seconds of an interval without months, e.g. "30 minutes"."""
+    return F.unix_seconds(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {length}"))
+
+
 def session_parts(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Visits within some events: a part that `whole_sessions` joins to others."""
+    """Events of a device per time slice of one gap's length: a part that `whole_sessions` joins to others.
+    Events of a slice are less than a gap apart, so they belong together and nothing is ordered."""
     known = events.where(F.col("device_id").isNotNull() & F.col("time_stamp").isNotNull())
+    slice_ = F.floor(F.unix_seconds("time_stamp") / _seconds(gap)).alias("slice")
     return (
-        known.groupBy(F.session_window("time_stamp", gap).alias("w"), "device_id")
-        .agg(rows().alias("events"), F.max("time_stamp").alias("newest"))
-        .select("device_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
+        known.groupBy("device_id", slice_)
+        .agg(F.min("time_stamp").alias("session_start"), F.max("time_stamp").alias("newest"), rows().alias("events"))
+        .select("device_id", "slice", "session_start", (F.col("newest") + F.expr(f"INTERVAL {gap}")).alias("session_end"),
                 "events", "newest")
     )
 
 
-def whole_sessions(parts: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Visits of all parts: those of a device that overlap become one.  What a task orders is a
-    device's visits, one for each gap, not its events."""
-    before = Window.partitionBy("device_id").orderBy("session_start", "session_end")
-    reach = F.max("session_end").over(before.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(F.col("session_start") < reach, 0).otherwise(1)
-    visits = parts.withColumn("fresh", fresh).withColumn("visit", F.sum("fresh").over(before.rowsBetween(
-        Window.unboundedPreceding, 0)))
-    return (visits.groupBy("device_id", "visit")
-            .agg(F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
-                 F.sum("events").alias("events"))
-            .drop("visit").withColumn("closed", _closed("session_end", parts, delay)))
+def whole_sessions(parts: DataFrame, delay: str = "10 minutes", block: int = 1000) -> DataFrame:
+    """Visits of all parts: those of a device that overlap become one.
+
+    A slice lasts as long as the gap, so only the slice right before can reach into it: whether a
+    visit begins in a slice is an aggregation.  Which visit a slice belongs to is the last beginning at
+    or before it, found within blocks of `block` slices and carried over from block to block, so a
+    device that never rests is as many small tasks as it has blocks.
+    """
+    slices = parts.groupBy("device_id", "slice").agg(
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+        F.sum("events").alias("events"))
+    # Every slice tells the next one where it ends.
+    told = F.inline(F.array(
+        F.struct("slice", "session_start", "session_end", "events", F.lit(None).cast("timestamp").alias("reach")),
+        F.struct((F.col("slice") + 1).alias("slice"), F.lit(None).cast("timestamp").alias("session_start"),
+                 F.lit(None).cast("timestamp").alias("session_end"), F.lit(None).cast("bigint").alias("events"),
+                 F.col("session_end").alias("reach"))))
+    placed = (slices.select("device_id", told).groupBy("device_id", "slice")
+              .agg(*[F.max(c).alias(c) for c in ("session_start", "session_end", "events", "reach")])
+              .where(F.col("session_start").isNotNull())
+              .withColumn("block", F.floor(F.col("slice") / block)))
+    begins = F.when(F.col("reach").isNull() | (F.col("session_start") >= F.col("reach")), F.col("session_start"))
+    inside = Window.partitionBy("device_id", "block").orderBy("slice")
+    visits = placed.withColumn("visit", F.max(begins).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    before = Window.partitionBy("device_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (visits.groupBy("device_id", "block").agg(F.max("visit").alias("last"))
+               .select("device_id", "block", F.max("last").over(before).alias("carried")))
+    return (visits.join(carried, ["device_id", "block"])
+            .groupBy("device_id", F.coalesce("visit", "carried").alias("session_start"))
+            .agg(F.max("session_end").alias("session_end"), F.sum("events").alias("events"))
+            .withColumn("closed", _closed("session_end", parts, delay)))
 
 
 def first_events(events: DataFrame, keys: list[str], delay: str = "10 minutes") -> DataFrame:
