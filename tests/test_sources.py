@@ -56,11 +56,11 @@ def test_event_schema_is_narrowed_in_order():
 
 def test_product_info_is_appended(spark, tmp_path):
     path = str(tmp_path / "info")
-    df = spark.createDataFrame([("n", "p", "d", "u", None)],
+    df = spark.createDataFrame([("n", "p", "d", "u", None), ("n/a", "n/a", "n/a", "v", "Failed to fetch")],
                                "product_name string, price string, description string, current_url string, error string")
     append_product_info(df, path)
     append_product_info(df, path)
-    assert rows_of(spark.read.parquet(path)) == [("n", "p", "d", "u")] * 2
+    assert rows_of(spark.read.parquet(path)) == sorted([("n", "p", "d", "u", None), ("n/a", "n/a", "n/a", "v", "Failed to fetch")] * 2, key=repr)
     urls = spark.createDataFrame([("2", "b"), ("1", "a"), ("1", "a"), ("3", "")], "product_id string, current_url string")
     assert [tuple(r) for r in product_urls(urls).collect()] == [("1", "a"), ("2", "b")]
 

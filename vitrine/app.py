@@ -10,22 +10,25 @@ Passwords are read from the environment variable that `--password-env` names.
 from __future__ import annotations
 
 import argparse
+import datetime
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+from vitrine.operators import crawl
 from vitrine.operators.facts import build_fact_event, write_fact
 from vitrine.operators.mergeable import TABLES
 from vitrine.operators.merge import append_missing, merge_product_final
 from vitrine.operators.pages import extract_product_info
 from vitrine.operators.parse import decode_value
-from vitrine.operators.products import crawl_worklist
+from vitrine.schemas import PRODUCT_INFO
 from vitrine.session import get_session
-from vitrine.sources.files import append_product_info, read_json_lines
+from vitrine.sources.files import read_json_lines
 from vitrine.sources.kafka import read_kafka_stream
 from vitrine.streaming.jobs import compact_table, read_table, start_warehouse_stream
 from vitrine.streaming.sinks import wait_for_all
+from vitrine.streaming.upsert import compact as fold, read_current, write_tables
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -54,34 +57,51 @@ def fact(spark: SparkSession, args: argparse.Namespace) -> None:
                mode="overwrite" if args.replace_dates else "append")
 
 
+def crawl_state(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
+    """Where the crawl stands, None before its first round."""
+    try:
+        return crawl.crawl_states(read_current(spark, f"{args.root}/crawl", crawl.combine_results, "states"),
+                                  attempts=args.attempts)
+    except FileNotFoundError:
+        return None
+
+
 def worklist(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Pages still to fetch, as a table for the fetcher."""
-    todo = crawl_worklist(read_table(spark, args.root, "dim_prd"), stored(spark, f"{args.root}/product_info"))
+    """Pages to fetch now, as a table for the fetcher: new ones and failed ones that are due again."""
+    todo = crawl.due_pages(read_table(spark, args.root, "dim_prd"), crawl_state(spark, args))
     todo.write.mode("overwrite").parquet(f"{args.root}/crawl_worklist")
 
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Fetched pages to product_info, leaving out pages that are stored already."""
-    pages = spark.read.parquet(args.pages)
-    known = stored(spark, f"{args.root}/product_info")
+    """A round of fetched pages to product_info and the crawl's states, both at once.  A round counts once,
+    however often it is run; pages that succeeded in an earlier round are left out."""
+    pages, known = spark.read.parquet(args.pages), crawl_state(spark, args)
     if known is not None:
-        pages = pages.join(known.select(known["current_url"].alias("url")).distinct(), "url", "left_anti")
-    append_product_info(extract_product_info(pages, suffixes=args.suffix), f"{args.root}/product_info")
+        done = known.where(known["succeeded_at"].isNotNull()).select(known["current_url"].alias("url"))
+        pages = pages.join(done, "url", "left_anti")
+    info = extract_product_info(pages, suffixes=args.suffix)
+    name = args.round or args.pages
+    states = crawl.reduce_results(info, name, F.lit(datetime.datetime.now(datetime.timezone.utc)))
+    write_tables({"product_info": info.select([f.name for f in PRODUCT_INFO.fields]), "states": states},
+                 f"{args.root}/crawl", 0, name)
 
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
-    """New products with page details to dim_product_final."""
+    """New products with page details to dim_product_final.  Pages that failed wait for their next attempt."""
     path = f"{args.root}/dim_product_final"
+    info = read_current(spark, f"{args.root}/crawl", lambda rows: rows, "product_info").where("error IS NULL")
     rows = merge_product_final(
         read_table(spark, args.root, "dim_product"), read_table(spark, args.root, "dim_prd"),
-        spark.read.parquet(f"{args.root}/product_info"), stored(spark, path), args.mode)
+        info, stored(spark, path), args.mode)
     append_missing(rows, path)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Fold the deltas of every dimension into new bases."""
+    """Fold the deltas of every dimension and of the crawl into new bases."""
     for name in TABLES:
         compact_table(spark, args.root, name)
+    fold(spark, f"{args.root}/crawl", crawl.combine_results, "states")
+    fold(spark, f"{args.root}/crawl", None, "product_info")
 
 
 COMMANDS = {"stream": stream, "fact": fact, "worklist": worklist, "extract": extract, "merge": merge,
@@ -106,6 +126,9 @@ def parser() -> argparse.ArgumentParser:
     parsers["fact"].add_argument("--lines", required=True, help="text files, one event per line")
     parsers["fact"].add_argument("--replace-dates", action="store_true",
                                  help="replace the dates that occur in the files instead of appending")
+    for name in ("worklist", "extract"):
+        parsers[name].add_argument("--attempts", type=int, default=crawl.ATTEMPTS, help="after which a page is given up")
+    parsers["extract"].add_argument("--round", help="name of the round of fetches, by default the path of its pages")
     parsers["extract"].add_argument("--pages", required=True, help="parquet table with url and html")
     parsers["extract"].add_argument("--suffix", action="append", default=[], help="title suffix to strip, in order")
     parsers["merge"].add_argument("--mode", choices=["all", "latest"], default="all")

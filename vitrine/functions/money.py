@@ -16,7 +16,7 @@ def price_amount(price: Column, kind: str = "decimal(18,3)", structured: Column
 
     Where both marks occur, the last one is the decimal mark.  A mark that occurs more than once groups
     digits.  A single mark is the decimal mark, unless exactly three digits follow it and one to three
-    stand before it: then it groups, except in currencies with three decimals.  In `structured` prices
+    that do not begin with a zero stand before it: then it groups, except in currencies with three decimals.  In `structured` prices
     (JSON-LD) a point is always the decimal mark.  A minus sign before the number counts.  Text without
     a readable number, or with one too large for `kind`, gives NULL.
     """
@@ -28,7 +28,7 @@ def price_amount(price: Column, kind: str = "decimal(18,3)", structured: Column
     mixed = number.contains(".") & number.contains(",") & (F.regexp_count(
         number, F.when(last == ".", F.lit(r"\.")).otherwise(F.lit(","))) == 1)
     # ... but a single group of three digits is a thousand.
-    thousand = number.rlike(r"^-?[0-9]{1,3}[.,][0-9]{3}$") & ~price.rlike(THREE_DECIMALS)
+    thousand = number.rlike(r"^-?[1-9][0-9]{0,2}[.,][0-9]{3}$") & ~price.rlike(THREE_DECIMALS)
     fraction = mixed | (alone & ~thousand) | (structured & alone & (last == "."))
     whole = F.regexp_replace(F.regexp_replace(number, r"[.,][0-9]*$", ""), r"[.,]", "")
     tail = F.regexp_extract(number, r"[.,]([0-9]*)$", 1)

@@ -60,10 +60,12 @@ def build_dim_currency(json_df: DataFrame, spark: SparkSession | None = None,
 
 
 def prices_in_usd(product_info: DataFrame, reference: DataFrame) -> DataFrame:
-    """Price text split into amount and currency, matched once (`best`) and converted."""
+    """Price text split into amount and currency, matched once (`best`) and converted.  A column
+    `price_structured`, where there is one, tells prices whose decimal mark is a point."""
     # A generator ends the lineage of the join key: tracing it through the page-extraction
     # expressions would cost the optimiser seconds.
-    parts = F.struct(price_amount(F.col("price")).alias("amount"),
+    structured = F.col("price_structured") if "price_structured" in product_info.columns else F.lit(False)
+    parts = F.struct(price_amount(F.col("price"), structured=structured).alias("amount"),
                      price_currency(F.col("price")).alias("raw_currency"))
     rows = product_info.select("current_url", "price", F.inline(F.array(parts)))
     matched = match_currency(rows, "raw_currency", reference, "best")

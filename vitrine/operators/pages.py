@@ -18,6 +18,7 @@ from vitrine.functions.text import bind, clean_text, decode_entities, filled
 
 MISSING = "N/A"
 FETCH_FAILED = "Failed to fetch"
+PRICE_STRUCTURED = "price_structured"
 
 # Selectors in the order they are tried.
 PRICE_CLASSES = ["price", "product-price", "sale-price"]
@@ -252,13 +253,16 @@ def _steps(application: str, suffixes: tuple[str, ...]) -> tuple[list[dict[str,
                               meta("description"), meta("og:description")]),
         "current_url": F.col("current_url"),
         "error": F.when(~filled(html), F.lit(FETCH_FAILED)),
+        # In JSON-LD a point is always the decimal mark.
+        PRICE_STRUCTURED: F.coalesce(filled(html) & F.col("_ld_price").isNotNull(), F.lit(False)),
     }
     return steps, output
 
 
 def extract_product_info(pages: DataFrame, url: str = "url", html: str = "html",
-                         suffixes: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """pages(url, html) to product_name, price, description, current_url and error.
+                         suffixes: list[str] | tuple[str, ...] = (), structured: bool = False) -> DataFrame:
+    """pages(url, html) to product_name, price, description, current_url and error; `structured` adds
+    `price_structured`: whether the price comes from JSON-LD.
 
     Each field falls through its sources in order and ends at 'N/A'; a page without html gives
     'N/A' everywhere and an error.  Tags are only tokenised where JSON-LD leaves a field open.
@@ -267,7 +271,7 @@ def extract_product_info(pages: DataFrame, url: str = "url", html: str = "html",
     rows = pages.select(F.col(url).alias("current_url"), F.col(html).alias("_html"))
     for columns in steps:
         rows = rows.withColumns(columns)
-    return rows.select([c.alias(name) for name, c in output.items()])
+    return rows.select([c.alias(name) for name, c in output.items() if structured or name != PRICE_STRUCTURED])
 
 
 def crawl_outcome(product_info: DataFrame) -> DataFrame:

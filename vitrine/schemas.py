@@ -54,7 +54,7 @@ CURRENCY = struct(
     ("currency_code",), currency_code=STRING, currency_name=STRING, symbol=STRING,
     country_code=STRING, usd_exchange_rate=T.DecimalType(18, 6))
 
-PRODUCT_INFO = struct(product_name=STRING, price=STRING, description=STRING, current_url=STRING)
+PRODUCT_INFO = struct(product_name=STRING, price=STRING, description=STRING, current_url=STRING, error=STRING)
 
 DIM_PRODUCT = struct(
     product_id=STRING, collection=STRING, diamond_option_id=STRING, alloy_option_id=STRING)

@@ -32,5 +32,5 @@ def product_urls(dim_prd: DataFrame) -> DataFrame:
 
 
 def append_product_info(extracted: DataFrame, path: str) -> None:
-    """Append extracted pages in one set-based write."""
+    """Append extracted pages in one set-based write; `error` tells pages that could not be read."""
     extracted.select([f.name for f in PRODUCT_INFO.fields]).write.mode("append").parquet(path)
