@@ -7,8 +7,9 @@ tables is used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vitrine.session import work_dir
 from vitrine.sources.files import to_json_lines
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -163,12 +164,35 @@ def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_json_lines(clicks(spark, sf_dir))
 
 
-def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
     """The same texts as a stream.  The bracket makes the path a pattern, which the streaming file
-    source needs when a table is a single file; a folder of files matches as well."""
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
-    return to_json_lines(clicks(spark, sf_dir, stream))
+    source needs when a table is a single file; a folder of files matches as well.  With `files` the
+    events are dealt to so many files, each of all times, and a batch takes one of them."""
+    events, reader = table(spark, sf_dir, "events"), spark.readStream
+    path = f"{sf_dir}/event[s].parquet"
+    if files:
+        path, reader = work_dir(spark, "events"), reader.option("maxFilesPerTrigger", 1)
+        events.repartition(files, F.hash("event_id")).write.parquet(path)
+    return to_json_lines(clicks(spark, sf_dir, reader.schema(events.schema).parquet(path)))
+
+
+def crawl_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four rounds of fetches of the product pages.  A page fails in its first page_id % 6 rounds, is fetched
+    until it succeeds, and some take part in the first two or three rounds only."""
+    tried = (F.col("round") <= F.col("page_id") % 6) & (F.col("round") < 2 + F.col("page_id") % 3)
+    return (product_pages(spark, sf_dir).withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(3)))).where(tried)
+            .withColumn("html", F.when(F.col("round") == F.col("page_id") % 6, F.col("html"))))
+
+
+# The same rounds over the product pages in DuckDB SQL, without their html.
+CRAWL_ROUNDS = """
+SELECT page_id, url, r AS round, r < page_id % 6 AS failed, 1704067200000 + 21600000 * r AS fetched
+FROM product_pages, (SELECT unnest(range(4)) AS r) WHERE r <= page_id % 6 AND r < 2 + page_id % 3"""
+
+
+def round_time(number: Column) -> Column:
+    """Rounds are six hours apart."""
+    return F.timestamp_seconds(F.lit(1_704_067_200) + number * 21_600)
 
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

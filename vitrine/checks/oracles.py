@@ -28,17 +28,26 @@ def _option(label: str) -> str:
     return f"[o.option_id FOR o IN option IF o.option_label = '{label}' AND o.option_id IS NOT NULL][1]"
 
 
+def _key(*parts: str) -> str:
+    return "md5(" + " || ".join(f"coalesce(strlen({p})::VARCHAR || ':' || {p}, '-')" for p in parts) + ")"
+
+
+COUNTRY = f"nullif(regexp_extract(lower(regexp_extract(current_url, '{HOST}', 1)), '\\.([a-z]+)$', 1), '')"
+
 FACTS = f"""
 SELECT _id AS event_id, time_stamp, CAST(time_stamp AS DATE) AS event_date,
  CAST(strftime(time_stamp, '%Y%m%d') AS INTEGER) AS date_id,
  collection, product_id, device_id, user_agent, store_id, current_url,
- nullif(regexp_extract(lower(regexp_extract(current_url, '{HOST}', 1)), '\\.([a-z]+)$', 1), '') AS country_code,
+ {COUNTRY} AS country_code,
  nullif(regexp_extract(current_url, '[?&]utm_campaign=([^&#]*)', 1), '') AS campaign,
  nullif(referrer_url, '') AS referrer_url,
  nullif(lower(regexp_extract(referrer_url, '{HOST}', 1)), '') AS referrer_host,
  coalesce(len(option), 0) > 0 AS has_option,
  {_option('diamond')} AS diamond_option_id, {_option('alloy')} AS alloy_option_id,
  nullif(currency, '') AS raw_currency,
+ {_key('product_id', 'collection')} AS product_key, {_key('device_id', 'user_agent')} AS device_key,
+ {_key('store_id', COUNTRY)} AS store_key, CASE WHEN trim(user_id_db) <> '' OR trim(email_address) <> ''
+  THEN {_key('trim(user_id_db)', 'trim(email_address)')} END AS customer_key,
  coalesce(nullif(trim(user_id_db), ''), nullif(trim(email_address), '')) AS customer
 FROM clicks"""
 
@@ -161,6 +170,18 @@ def with_info(body: str, **ctes: str) -> str:
     return clicks(body, product_pages=PAGES, options=OPTIONS, info=INFO, **ctes)
 
 
+def rounds(body: str) -> str:
+    return f"WITH product_pages AS ({PAGES}), rounds AS ({fx.CRAWL_ROUNDS}) {body}"
+
+
+# Pauses double from one hour on; after four attempts a page is given up.
+CRAWL_STATES = """
+SELECT url AS current_url, count(*)::INTEGER AS attempts, CASE WHEN max(fetched) FILTER (WHERE failed) IS NOT NULL THEN 'Failed to fetch' END AS last_error,
+ min(fetched) FILTER (WHERE NOT failed) AS succeeded_at, max(fetched) FILTER (WHERE failed) AS last_failed_at,
+ CASE WHEN count(*) FILTER (WHERE NOT failed) = 0 AND count(*) < 4
+  THEN max(fetched) FILTER (WHERE failed) + 3600000 * (1 << (count(*) - 1)) END AS due_at
+FROM rounds GROUP BY url"""
+
 AMOUNT = ("CAST(replace(regexp_extract(price, '[0-9]+(?:[.,][0-9]+)?'), ',', '.') AS DECIMAL(18,3))")
 
 # --- durations ---
@@ -235,7 +256,8 @@ SELECT _id, ip, user_agent, resolution, user_id_db, device_id, api_version, stor
         "LEFT JOIN best b ON r.raw_currency = b.k", best=BEST),
     "fact_event": facts("""
 SELECT event_id, date_id, collection, product_id, device_id, store_id, country_code, campaign,
- referrer_host, has_option, diamond_option_id, alloy_option_id, raw_currency, customer FROM fact"""),
+ referrer_host, has_option, diamond_option_id, alloy_option_id, raw_currency, customer,
+ product_key, device_key, customer_key, store_key FROM fact"""),
     "star_join": facts(f"""
 SELECT monthname(f.event_date) AS month_name, {_match('f.user_agent', REFERENCE['browser'])} AS browser,
  p.diamond_option_id, p.alloy_option_id, count(*) AS events
@@ -254,8 +276,15 @@ SELECT product_id, product_name, CAST(NULL AS VARCHAR) AS category, raw_price,
  until IS NULL AS is_current_record FROM spans""",
     "product_info": with_info("SELECT * FROM info"),
     "product_info_given_pages": _info("pages", False),
-    "crawl_outcome": with_info(
-        "SELECT CASE WHEN error IS NULL THEN 'success' ELSE 'error' END AS outcome, count(*) AS pages FROM info GROUP BY 1"),
+    "crawl_outcome": rounds("SELECT CASE WHEN failed THEN 'error' ELSE 'success' END AS outcome, count(*) AS pages FROM rounds GROUP BY 1"),
+    "crawl_states": rounds(f"SELECT * FROM ({CRAWL_STATES})"),
+    "crawl_outcomes": rounds(f"""
+SELECT CASE WHEN succeeded_at IS NOT NULL THEN 'success' WHEN due_at IS NOT NULL THEN 'retry' ELSE 'gave_up' END AS outcome,
+ count(*) AS pages, sum(attempts)::BIGINT AS attempts FROM ({CRAWL_STATES}) GROUP BY 1"""),
+    "crawl_due": clicks(f"""
+SELECT DISTINCT product_id, current_url FROM clicks WHERE current_url <> '' AND current_url NOT IN (
+ SELECT current_url FROM ({CRAWL_STATES}) WHERE due_at IS NULL OR due_at > 1704067200000 + 4 * 21600000)""",
+                        product_pages=PAGES, rounds=fx.CRAWL_ROUNDS),
     "product_page_urls": clicks("SELECT DISTINCT product_id, current_url FROM clicks WHERE current_url <> ''"),
     "crawl_worklist": with_info("""
 SELECT DISTINCT product_id, current_url FROM clicks c WHERE current_url <> ''
@@ -382,10 +411,19 @@ UNION ALL SELECT 'referrer_url', count(*), count(*) FILTER (referrer_url IS NULL
 UNION ALL SELECT 'email_address', count(*), count(*) FILTER (email_address IS NULL), count(*) FILTER (email_address = ''), count(*) FILTER (email_address NOT LIKE '%@%') FROM clicks
 UNION ALL SELECT 'collection', count(*), count(*) FILTER (collection IS NULL), count(*) FILTER (collection = ''), 0 FROM clicks
 UNION ALL SELECT 'currency', count(*), count(*) FILTER (currency IS NULL), count(*) FILTER (currency = ''), count(*) FILTER (NOT regexp_matches(currency, '^[A-Z]{3}$')) FROM clicks"""),
-    "dq_refcheck": with_info("""
+    "dq_refcheck": clicks("""
 SELECT 'page' AS dimension, count(DISTINCT current_url) AS missing_keys, count(*) AS orphan_rows FROM clicks
 WHERE current_url NOT IN (SELECT url FROM product_pages)
-UNION ALL SELECT 'store', 0, 0"""),
+UNION ALL SELECT 'date', 0, 0 UNION ALL SELECT 'device', 0, 0 UNION ALL SELECT 'customer', 0, 0
+UNION ALL SELECT 'product', count(DISTINCT product_key), count(*) FROM fact f
+ WHERE NOT EXISTS (SELECT 1 FROM product p WHERE p.product_id = f.product_id AND p.collection = f.collection)
+UNION ALL SELECT 'store', count(DISTINCT store_key), count(*) FROM fact WHERE store_id IS NULL OR store_id = ''""",
+                         options=OPTIONS, fact=FACTS, product=DIM_PRODUCT, product_pages=PAGES),
+    "dq_key_audit": facts(" UNION ALL ".join(
+        f"SELECT '{t}' AS dimension, count(*) AS natural_keys, count(*) AS keys, 0 AS collisions FROM (SELECT DISTINCT {k} FROM {f})"
+        for t, k, f in (("dim_product", "product_id, collection", "clicks"), ("dim_device", "device_id, user_agent", "clicks"),
+                        ("dim_customer", "trim(user_id_db), trim(email_address)", "clicks"),
+                        ("dim_store", "store_id, country_code", "fact")))),
     "dq_audit": clicks("""
 SELECT 'events' AS table_name, 0::BIGINT AS batch_id, count(*) AS rows, epoch_ms(max(time_stamp)) AS max_event_time FROM clicks"""),
     "stream_dim_product": clicks(DIM_PRODUCT, options=OPTIONS),
@@ -402,6 +440,9 @@ SELECT 'events' AS table_name, 0::BIGINT AS batch_id, count(*) AS rows, epoch_ms
         _row_text("dim_customer", DIM_CUSTOMER, ["user_id", "email_address", "show_recommendation"]),
         _option_text("diamond"), _option_text("alloy")]), options=OPTIONS),
     "stream_device_dedup": clicks(f"SELECT DISTINCT {_device(REFERENCE)} FROM clicks"),
+    "stream_first_events": clicks("""
+SELECT device_id, epoch_ms(date_trunc('hour', time_stamp)) AS hour, epoch_ms(time_stamp) AS time_stamp, _id FROM clicks
+QUALIFY row_number() OVER (PARTITION BY device_id, date_trunc('hour', time_stamp) ORDER BY time_stamp, _id) = 1"""),
     "stream_currency": clicks(DIM_CURRENCY),
     "stream_views_tumbling": clicks(_windows("1 hour", "1 hour", 1)),
     "stream_views_sliding": clicks(_windows("2 hours", "1 hour", 2)),

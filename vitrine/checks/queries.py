@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.checks import fixtures as fx
+from vitrine.functions.keys import shown
 from vitrine.functions.money import price_amount
-from vitrine.operators import currency, customers, dates, devices, facts, history, merge, option_dims
-from vitrine.operators import pages, products, quality
-from vitrine.operators.mergeable import TABLES
+from vitrine.operators import crawl, currency, customers, dates, devices, facts, history, merge, option_dims
+from vitrine.operators import pages, products, quality, timeline
+from vitrine.operators.mergeable import TABLES, needed_fields
 from vitrine.operators.parse import parse_events
 from vitrine.plans import engagement, geography, technology, traffic
 from vitrine.plans import products as product_plans
@@ -18,7 +19,7 @@ from vitrine.schemas import EVENT_FIELDS
 from vitrine.session import work_dir
 from vitrine.sources.currency_list import currency_list
 from vitrine.sources.files import product_urls
-from vitrine.streaming import jobs, sinks, upsert
+from vitrine.streaming import jobs, log, sinks, state, upsert
 
 # Suffixes of the shop in the page fixtures, tried in this order.
 SHOP_SUFFIXES = [" | SHOP.de", " - SHOP.de", " | SHOP", " - SHOP"]
@@ -58,8 +59,49 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_stored[key])
 
 
-def info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.extract_product_info(fx.product_pages(spark, sf_dir), suffixes=SHOP_SUFFIXES)
+def load_timeline(spark: SparkSession, sf_dir: str) -> str:
+    """Store the next events of devices beside the fact table."""
+    root = work_dir(spark, "timeline")
+    timeline.refresh_timeline(fact(spark, sf_dir), root)
+    return root
+
+
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All views with their duration, from the timeline loaded once per session and data set."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} timeline")
+    if key not in _stored:
+        _stored[key] = load_timeline(spark, sf_dir)
+    return timeline.timeline_views(timeline.read_timeline(spark, _stored[key]))
+
+
+# Dimensions that facts refer to by surrogate key, and the natural keys these stand for.
+KEYED = {"product_key": ("dim_product", ["product_id", "collection"]), "device_key": ("dim_device", ["device_id", "user_agent"]),
+         "customer_key": ("dim_customer", ["user_id", "email_address"]), "store_key": ("dim_store", ["store_id", "country_code"])}
+
+
+def load_dims(spark: SparkSession, sf_dir: str) -> str:
+    """Build the keyed dimensions and the calendar from the click texts, apart from the facts, and store them."""
+    root, names = work_dir(spark, "dims"), ["dim_product", "dim_device", "dim_customer"]
+    events = parse_events(lines(spark, sf_dir), sorted({*needed_fields([*names, "dim_date"]), "store_id", "current_url"})).persist()
+    dims = {name: TABLES[name].keyed(TABLES[name].reduce(events)) for name in names}
+    dims["dim_date"] = TABLES["dim_date"].build(events)
+    dims["dim_store"] = facts.dim_store(facts.fact_event(events, ["store_id", "country_code"]), keyed=True)
+    upsert.write_tables(dims, root, 0, "load")
+    events.unpersist()
+    return root
+
+
+def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stored dimensions by name, loaded once per session and data set."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} dims")
+    if key not in _stored:
+        _stored[key] = load_dims(spark, sf_dir)
+    root, seen = _stored[key], log.snapshot(spark, _stored[key])
+    return {name: upsert.read_current(spark, root, lambda rows: rows, name, seen) for name in seen.tables()}
+
+
+def info(spark: SparkSession, sf_dir: str, structured: bool = False) -> DataFrame:
+    return pages.extract_product_info(fx.product_pages(spark, sf_dir), suffixes=SHOP_SUFFIXES, structured=structured)
 
 
 def millis(name: str) -> F.Column:
@@ -151,26 +193,20 @@ def fact_event(spark, sf_dir):
     columns = ["event_id", "date_id", "collection", "product_id", "device_id", "store_id",
                "country_code", "campaign", "referrer_host", "has_option", "diamond_option_id",
                "alloy_option_id", "raw_currency", "customer"]
-    return facts.build_fact_event(lines(spark, sf_dir), columns)
+    rows = facts.build_fact_event(lines(spark, sf_dir), [*columns, *KEYED])
+    return rows.select(*columns, *[shown(F.col(key)).alias(key) for key in KEYED])
 
 
 @query
 def star_join(spark, sf_dir):
     """Events per calendar month, browser and product options, through surrogate keys."""
-    stored = fact(spark, sf_dir)
-    agents = stored.select("device_id", "user_agent").distinct()
-    device = devices.device_attributes(
-        facts.with_key(agents, "device_key", ["device_id", "user_agent"]), keep=["device_key"])
-    product = facts.with_key(products.build_dim_product(lines(spark, sf_dir)), "product_key",
-                             ["product_id", "collection"])
-    days = stored.select(F.col("event_date").alias("date")).distinct()
-    calendar = dates.date_attributes(days).select("date_id", "month_name")
-    joined = facts.star_join(
-        stored.select("date_id", "device_key", "product_key"),
-        {"date_id": calendar, "device_key": device.select("device_key", "browser"),
-         "product_key": product.select("product_key", "diamond_option_id", "alloy_option_id")})
-    return (joined.groupBy("month_name", "browser", "diamond_option_id", "alloy_option_id")
-            .agg(F.count(F.lit(1)).alias("events")))
+    known = dims(spark, sf_dir)
+    return facts.star_counts(
+        fact(spark, sf_dir),
+        {"date_id": known["dim_date"].select("date_id", "month_name"),
+         "device_key": known["dim_device"].select("device_key", "browser"),
+         "product_key": known["dim_product"].select("product_key", "diamond_option_id", "alloy_option_id")},
+        ["month_name", "browser", "diamond_option_id", "alloy_option_id"])
 
 
 @query
@@ -200,7 +236,38 @@ def product_info_given_pages(spark, sf_dir):
 
 @query
 def crawl_outcome(spark, sf_dir):
-    return pages.crawl_outcome(info(spark, sf_dir))
+    """Fetches of four rounds, some of which failed."""
+    return pages.crawl_outcome(pages.extract_product_info(fx.crawl_rounds(spark, sf_dir)))
+
+
+def round_states(spark, sf_dir) -> DataFrame:
+    """States of all pages after four rounds, each stored as a part of its own; the last one twice."""
+    root = work_dir(spark, "crawl")
+    fetched = fx.crawl_rounds(spark, sf_dir)
+    for n in [0, 1, 2, 3, 3]:
+        of = fetched.where(F.col("round") == n)
+        results = pages.extract_product_info(of).withColumn("fetched_at", fx.round_time(F.lit(n)))
+        upsert.write_delta(crawl.reduce_results(results, f"round {n}"), root, n, "rounds")
+    return crawl.crawl_states(upsert.read_current(spark, root, crawl.combine_results), attempts=4)
+
+
+@query
+def crawl_states(spark, sf_dir):
+    """Attempts, last failure and next attempt of every page."""
+    return round_states(spark, sf_dir).select(
+        "current_url", "attempts", "last_error", millis("succeeded_at"), millis("last_failed_at"), millis("due_at"))
+
+
+@query
+def crawl_outcomes(spark, sf_dir):
+    return crawl.outcome_counts(round_states(spark, sf_dir))
+
+
+@query
+def crawl_due(spark, sf_dir):
+    """Pages to fetch six hours after the last round: never tried ones, and failed ones whose pause is over."""
+    return crawl.due_pages(products.build_dim_prd(lines(spark, sf_dir)), round_states(spark, sf_dir),
+                           fx.round_time(F.lit(4)))
 
 
 @query
@@ -234,13 +301,13 @@ def product_final_latest(spark, sf_dir):
 
 @query
 def price_decimal(spark, sf_dir):
-    return info(spark, sf_dir).select("current_url", "price",
-                                      price_amount(F.col("price")).alias("amount"))
+    return info(spark, sf_dir, structured=True).select(
+        "current_url", "price", price_amount(F.col("price"), structured=F.col("price_structured")).alias("amount"))
 
 
 @query
 def amount_usd(spark, sf_dir):
-    return currency.prices_in_usd(info(spark, sf_dir), currency_list(spark))
+    return currency.prices_in_usd(info(spark, sf_dir, structured=True), currency_list(spark))
 
 
 # --- analytics ----------------------------------------------------------------------------
@@ -328,17 +395,17 @@ def campaign(spark, sf_dir):
 
 @query
 def view_duration(spark, sf_dir):
-    return engagement.duration_by_product_country(fact(spark, sf_dir))
+    return engagement.duration_by_product_country(views(spark, sf_dir))
 
 
 @query
 def view_duration_customising(spark, sf_dir):
-    return engagement.duration_by_customising(fact(spark, sf_dir))
+    return engagement.duration_by_customising(views(spark, sf_dir))
 
 
 @query
 def view_duration_option(spark, sf_dir):
-    return engagement.duration_by_option(fact(spark, sf_dir))
+    return engagement.duration_by_option(views(spark, sf_dir))
 
 
 @query
@@ -380,10 +447,23 @@ def dq_profile(spark, sf_dir):
 
 @query
 def dq_refcheck(spark, sf_dir):
-    page_urls = fx.product_pages(spark, sf_dir).select("url")
-    stores = facts.dim_store(fact(spark, sf_dir)).select("store_id").distinct()
+    """Facts without a row in the dimension they refer to; dimensions are built apart from the facts."""
+    known, page_urls = dims(spark, sf_dir), fx.product_pages(spark, sf_dir).select("url")
     return quality.reference_gaps(fact(spark, sf_dir), {
-        "page": (page_urls, "current_url", "url"), "store": (stores, "store_id", "store_id")})
+        "page": (page_urls, "current_url", "url"), "date": (known["dim_date"], "date_id", "date_id"),
+        **{table.removeprefix("dim_"): (known[table], key, key) for key, (table, _) in KEYED.items()}})
+
+
+@query
+def dq_key_audit(spark, sf_dir):
+    """Natural keys that share a surrogate key."""
+    events = parse_events(lines(spark, sf_dir), ["product_id", "collection", "device_id", "user_agent", "user_id_db",
+                                                 "email_address", "store_id", "current_url"])
+    user, mail = customers.customer_key_columns()
+    natural = events.withColumns({"user_id": user, "email_address": mail}).withColumn(
+        "country_code", facts.fact_columns()["country_code"][1])
+    return quality.key_audit({table: (facts.with_key(natural.select(*names), key, names), key, names)
+                              for key, (table, names) in KEYED.items()})
 
 
 @query
@@ -408,10 +488,13 @@ def finish_parts(stream: DataFrame, root: str, reduce, mode: str = "append") ->
 
 @query
 def stream_dim_product(spark, sf_dir):
-    """The update-mode aggregation with an upsert sink: the newest batch of a key wins."""
-    root = work_dir(spark, "stream_dim_product")
-    finish(products.build_dim_product(fx.click_stream(spark, sf_dir)), root, "update")
-    return upsert.read_current(spark, root, upsert.newest(["product_id", "collection"]))
+    """The update-mode aggregation over several files, one a batch: each writes the keys it changes into the
+    bucketed state, which is the table."""
+    root, table = work_dir(spark, "stream_dim_product"), TABLES["dim_product"]
+    events = parse_events(fx.click_stream(spark, sf_dir, files=4), table.fields)
+    sinks.start_stream(events, state.state_writer(root, table.keys, table.combine, table.reduce, buckets=8),
+                       f"{root}/_checkpoint", every=None).awaitTermination()
+    return table.finish(state.read_states(spark, root, table.keys, table.combine))
 
 
 @query
@@ -420,9 +503,9 @@ def stream_dims(spark, sf_dir):
     root = work_dir(spark, "stream_dims")
     jobs.start_warehouse_stream(fx.click_stream(spark, sf_dir), root, f"{root}/_checkpoint",
                                 every=None).awaitTermination()
-    out = None
+    out, seen = None, log.snapshot(spark, root)
     for name in TABLES:
-        dim = jobs.read_table(spark, root, name)
+        dim = jobs.read_table(spark, root, name, seen)
         if name == "dim_prd":
             dim = dim.withColumn("last_seen", F.unix_millis("last_seen"))
         if name == "dim_currency":
@@ -435,10 +518,23 @@ def stream_dims(spark, sf_dir):
 
 @query
 def stream_device_dedup(spark, sf_dir):
-    """Append-mode duplicate removal in the state store."""
+    """Append-mode duplicate removal over several files, one a batch, against the bucketed table of seen rows."""
     root = work_dir(spark, "stream_device")
-    finish(devices.build_dim_device(fx.click_stream(spark, sf_dir)), root)
-    return upsert.read_current(spark, root, lambda stored: stored.drop("batch"))
+    rows = devices.build_dim_device(fx.click_stream(spark, sf_dir, files=4), distinct=False)
+    sinks.start_stream(rows, state.first_writer(root, rows.columns, buckets=8), f"{root}/_checkpoint",
+                       every=None).awaitTermination()
+    return state.read_first(spark, root)
+
+
+@query
+def stream_first_events(spark, sf_dir):
+    """The first event of each device and hour, whose keys expire with the watermark."""
+    root = work_dir(spark, "stream_first")
+    events = _events_stream(spark, sf_dir, ["_id", "time_stamp", "device_id"]).withColumn(
+        "hour", F.date_trunc("hour", "time_stamp"))
+    sinks.start_stream(events, state.first_writer(root, ["device_id", "hour"], "time_stamp", delay="40 days", buckets=8),
+                       f"{root}/_checkpoint", every=None).awaitTermination()
+    return state.read_first(spark, root).select("device_id", millis("hour"), millis("time_stamp"), "_id")
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vitrine.functions.keys import surrogate_key
 from vitrine.functions.options import has_options, option_id
 from vitrine.functions.text import blank_to_null, filled
 from vitrine.functions.times import date_id
@@ -13,22 +14,12 @@ from vitrine.operators.parse import parse_events
 from vitrine.operators.products import ALLOY, DIAMOND
 
 
-def surrogate_key(*parts: Column) -> Column:
-    """64-bit key computed from the natural key: facts and dimensions agree without a lookup join.
-    A NULL part and an empty one give different keys."""
-    marked = []
-    for part in parts:
-        marked += [part.isNull(), F.coalesce(part, F.lit(""))]
-    return F.xxhash64(*marked)
-
-
 def customer_key() -> Column:
     user, mail = customer_key_columns()
     known = filled(user) | filled(mail)
     return F.when(known, surrogate_key(user, mail))
 
 
-
 def fact_columns() -> dict[str, tuple[list[str], Column]]:
     """Output column -> (event fields it reads, expression)."""
     col = F.col
@@ -99,22 +90,29 @@ def write_fact(fact: DataFrame, path: str, mode: str = "append", rebalance: bool
      .partitionBy("date_id").parquet(path))
 
 
-def dim_store(fact: DataFrame) -> DataFrame:
-    return fact.where(filled(F.col("store_id"))).select("store_id", "country_code").distinct()
+def dim_store(fact: DataFrame, keyed: bool = False) -> DataFrame:
+    """Stores and their countries; `keyed` adds the key that facts carry."""
+    stores = fact.where(filled(F.col("store_id"))).select("store_id", "country_code").distinct()
+    return with_key(stores, "store_key", ["store_id", "country_code"]) if keyed else stores
 
 
-def build_dim_store(json_df: DataFrame) -> DataFrame:
-    return dim_store(build_fact_event(json_df, ["store_id", "country_code"]))
+def build_dim_store(json_df: DataFrame, keyed: bool = False) -> DataFrame:
+    return dim_store(build_fact_event(json_df, ["store_id", "country_code"]), keyed)
 
 
 def with_key(dim: DataFrame, name: str, natural: list[str]) -> DataFrame:
     return dim.withColumn(name, surrogate_key(*[F.col(c) for c in natural]))
 
 
-def star_join(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Left-join dimensions by key column.  No broadcast hint: dates and currencies broadcast by
-    their statistics, while customers or devices may outgrow memory and then shuffle (AQE splits
-    a skewed key)."""
+def star_counts(fact: DataFrame, dims: dict[str, DataFrame], by: list[str]) -> DataFrame:
+    """Events per dimension attributes `by`.  `dims` maps a key column to its dimension.
+
+    Facts are counted per combination of keys first, so what the joins move is the combinations, and a
+    frequent key is as many rows as it has combinations.  No broadcast hint: dates and currencies
+    broadcast by their statistics, while customers or devices may outgrow memory and then shuffle
+    (AQE splits a skewed key).  A key without a dimension row counts under NULL attributes.
+    """
+    counted = fact.groupBy(*dims).agg(F.count(F.lit(1)).alias("events"))
     for key, dim in dims.items():
-        fact = fact.join(dim, key, "left")
-    return fact
+        counted = counted.join(dim, key, "left")
+    return counted.groupBy(*by).agg(F.sum("events").alias("events"))

@@ -21,6 +21,7 @@ from vitrine.operators import customers as cust
 from vitrine.operators import dates, devices, option_dims
 from vitrine.operators import products as prod
 from vitrine.operators.currency import match_currency
+from vitrine.operators.facts import with_key
 from vitrine.sources.currency_list import currency_list
 
 
@@ -29,9 +30,12 @@ class Mergeable:
     fields: list[str]
     keys: list[str]
     rows: Callable[[DataFrame], DataFrame]
-    finish: Callable[[DataFrame], DataFrame]
+    # Turns states into the table; further columns of the states are carried along.
+    finish: Callable[..., DataFrame]
     # state name -> ("min" | "max", expression over `rows`)
     states: Callable[[], dict[str, tuple[str, Column]]] = dict
+    # Surrogate key that facts carry; it is computed from `keys`.
+    key: str | None = None
 
     def reduce(self, events: DataFrame) -> DataFrame:
         """Keys and states of some events."""
@@ -44,6 +48,10 @@ class Mergeable:
     def build(self, events: DataFrame) -> DataFrame:
         return self.finish(self.reduce(events))
 
+    def keyed(self, states: DataFrame) -> DataFrame:
+        """The finished table with its surrogate key: one row per key, also where attributes are alike."""
+        return self.finish(with_key(states, self.key, self.keys), [self.key])
+
     def _group(self, df: DataFrame, states: dict[str, tuple[str, Column]]) -> DataFrame:
         if not states:
             return df.select(*self.keys).distinct()
@@ -62,7 +70,7 @@ def _option_table(label: str) -> Mergeable:
         rows=lambda events: option_dims.option_rows(events, label),
         states=lambda: {"s": ("min", F.struct(*prod.event_order(
             F.col("pos"), F.col("valueLabel"), F.col("valueId"))))},
-        finish=lambda s: s.select("optionLabel", "optionId", F.col("s.valueLabel").alias("valueLabel"),
+        finish=lambda s, keep=(): s.select(*keep, "optionLabel", "optionId", F.col("s.valueLabel").alias("valueLabel"),
                                   F.col("s.valueId").alias("valueId")),
     )
 
@@ -77,7 +85,8 @@ TABLES: dict[str, Mergeable] = {
         keys=["product_id", "collection"],
         rows=prod.product_rows,
         states=lambda: {"diamond": _choice(F.col("diamond")), "alloy": _choice(F.col("alloy"))},
-        finish=lambda s: s.select("product_id", "collection",
+        key="product_key",
+        finish=lambda s, keep=(): s.select(*keep, "product_id", "collection",
                                   or_sentinel(F.col("diamond.value")).alias("diamond_option_id"),
                                   or_sentinel(F.col("alloy.value")).alias("alloy_option_id")),
     ),
@@ -86,32 +95,34 @@ TABLES: dict[str, Mergeable] = {
         keys=["product_id", "current_url"],
         rows=lambda events: events,
         states=lambda: {"last_seen": ("max", F.col("time_stamp"))},
-        finish=lambda s: s,
+        finish=lambda s, keep=(): s,
     ),
     "dim_date": Mergeable(
         fields=["time_stamp"],
         keys=["date"],
         rows=lambda events: dates.event_days(events, "drop"),
-        finish=dates.date_attributes,
+        finish=lambda s, keep=(): dates.date_attributes(s),
     ),
     "dim_currency": Mergeable(
         fields=["currency"],
         keys=["raw_currency"],
         rows=_currency_rows,
-        finish=lambda s: match_currency(s, "raw_currency", currency_list(s.sparkSession)),
+        finish=lambda s, keep=(): match_currency(s, "raw_currency", currency_list(s.sparkSession)),
     ),
     "dim_device": Mergeable(
         fields=["device_id", "user_agent"],
         keys=["device_id", "user_agent"],
         rows=lambda events: events,
-        finish=lambda s: devices.device_attributes(s).distinct(),
+        key="device_key",
+        finish=lambda s, keep=(): devices.device_attributes(s, keep=list(keep)).distinct(),
     ),
     "dim_customer": Mergeable(
         fields=cust.CUSTOMER_FIELDS,
         keys=["user_id", "email_address"],
         rows=cust.customer_rows,
         states=lambda: {"latest": ("max", F.struct("time_stamp", "_id", F.col("show_recommendation").alias("value")))},
-        finish=lambda s: s.select("user_id", "email_address",
+        key="customer_key",
+        finish=lambda s, keep=(): s.select(*keep, "user_id", "email_address",
                                   F.col("latest.value").alias("show_recommendation")),
     ),
     "dim_diamond_option": _option_table(prod.DIAMOND),

@@ -70,6 +70,20 @@ def reference_gaps(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]])
     return out
 
 
+def key_audit(dims: dict[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """Rows, distinct keys and collisions (keys that stand for several natural keys) of each dimension;
+    `dims` maps a name to (rows, key column, natural key columns)."""
+    out = None
+    for name, (rows, key, natural) in dims.items():
+        # Natural keys are made distinct first; a key then has as many rows as it stands for.
+        per_key = (rows.select(F.col(key).alias("k"), *natural).distinct()
+                   .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
+        found = per_key.agg(F.lit(name).alias("dimension"), F.coalesce(F.sum("n"), F.lit(0)).alias("natural_keys"),
+                            F.count(F.lit(1)).alias("keys"), F.count_if(F.col("n") > 1).alias("collisions"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def audit_rows(df: DataFrame, table: str, batch_id: int) -> DataFrame:
     """One audit row of a written batch: rows and newest event time."""
     newest = F.max("time_stamp") if "time_stamp" in df.columns else F.lit(None).cast("timestamp")
