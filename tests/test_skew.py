@@ -47,6 +47,8 @@ def test_neighbour_equals_a_plain_window(lopsided, step, share, slice_seconds):
                      heavy=heavy_keys(lopsided, "key", share=share, floor=0), slice_seconds=slice_seconds)
     ours = ours.select("key", "at", "name", F.col("near.name").alias("n"))
     assert rows_of(ours) == rows_of(plain)
+    known = neighbour(lopsided, "key", "at", ["name"], {"name": F.col("name")}, step=step, heavy=False)
+    assert rows_of(known.select("key", "at", "name", F.col("near.name").alias("n"))) == rows_of(plain)
 
 
 def test_join_in_pieces_equals_a_plain_join(spark, lopsided):

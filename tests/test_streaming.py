@@ -335,3 +335,44 @@ def test_sinks_refuse_missing_checkpoint_and_unknown_mode(spark, folder):
         sinks.start_stream(stream, lambda df, n: None, "")
     with pytest.raises(ValueError):
         sinks.start_stream(stream, lambda df, n: None, "/tmp/x", "replace")
+
+
+@pytest.fixture(scope="module")
+def restless(spark):
+    """A device with a third of all events, over 30 days with a rest now and then; events exactly a gap apart, at
+    the edges of slices, at equal times, and without device or time."""
+    at = F.floor(F.col("id") / 3) * 97 % 30 * 86400 + F.col("id") * 7919 % 50_000
+    return spark.range(30_000).select(
+        F.concat(F.lit("e"), "id").alias("_id"),
+        F.when(F.col("id") % 997 == 0, None).otherwise(F.timestamp_seconds(1_704_067_200 + F.when(
+            F.col("id") % 5 == 1, F.floor(F.col("id") / 100) * 1800).otherwise(at))).alias("time_stamp"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 991 == 0, None)
+        .otherwise(F.concat(F.lit("d"), F.col("id") % 400)).alias("device_id")).cache()
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_sessions_equal_a_plain_window(spark, restless, block):
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("device_id").orderBy("time_stamp", "_id")
+    known = restless.where("device_id is not null and time_stamp is not null")
+    gap = F.expr("INTERVAL 30 minutes")
+    fresh = F.when(F.col("time_stamp") < F.lag("time_stamp").over(order) + gap, 0).otherwise(1)
+    plain = (known.withColumn("n", fresh).withColumn("n", F.sum("n").over(order)).groupBy("device_id", "n")
+             .agg(F.min("time_stamp").alias("a"), (F.max("time_stamp") + gap).alias("b"), F.count("*").alias("c")))
+    parts = [jobs.session_parts(restless.where(F.pmod(F.hash("_id"), F.lit(3)) == n)) for n in range(3)]
+    whole = jobs.whole_sessions(parts[0].unionByName(parts[1]).unionByName(parts[2]), block=block)
+    ours = whole.select("device_id", "session_start", "session_end", "events")
+    assert rows_of(ours) == rows_of(plain.select("device_id", "a", "b", "c"))
+    assert plain.where("device_id = 'hot'").count() > 20 and plain.count() > 5000
+
+
+def test_hot_device_is_many_tasks(spark, restless):
+    """What a task orders is a block of a device's slices, and slices are counted before they move."""
+    whole = jobs.whole_sessions(jobs.session_parts(restless), block=48)
+    text = whole._jdf.queryExecution().executedPlan().toString()
+    assert "session_window" not in text and "MergingSessions" not in text and "UpdatingSessions" not in text
+    windows = [x for x in text.splitlines() if "Window [" in x]
+    assert windows and all("block" in x for x in windows)
+    blocks = restless.where("device_id = 'hot'").select(F.floor(F.unix_seconds("time_stamp") / 1800 / 48).alias("b"))
+    assert blocks.distinct().count() >= 26

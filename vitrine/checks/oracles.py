@@ -275,6 +275,13 @@ SELECT product_id, product_name, CAST(NULL AS VARCHAR) AS category, raw_price,
  epoch_ms(seen_at) AS record_created_date, epoch_ms(until) AS record_expired_date,
  until IS NULL AS is_current_record FROM spans""",
     "product_info": with_info("SELECT * FROM info"),
+    "country_overlap": facts("""
+SELECT a.country_code AS country, b.country_code AS other_country, count(*) AS devices FROM seen a JOIN seen b
+ ON a.device_id = b.device_id AND a.country_code < b.country_code GROUP BY 1, 2""",
+                             seen="SELECT DISTINCT country_code, device_id FROM fact WHERE country_code IS NOT NULL AND device_id IS NOT NULL"),
+    "store_devices_period": facts("""
+SELECT country_code, store_id, count(DISTINCT device_id) AS devices FROM fact
+WHERE date_id BETWEEN 20240105 AND 20240114 AND store_id IS NOT NULL AND device_id IS NOT NULL GROUP BY 1, 2"""),
     "product_info_given_pages": _info("pages", False),
     "crawl_outcome": rounds("SELECT CASE WHEN failed THEN 'error' ELSE 'success' END AS outcome, count(*) AS pages FROM rounds GROUP BY 1"),
     "crawl_states": rounds(f"SELECT * FROM ({CRAWL_STATES})"),
@@ -455,3 +462,7 @@ FROM (SELECT device_id, time_stamp, sum(fresh) OVER (PARTITION BY device_id ORDE
    + INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM clicks))
 GROUP BY device_id, n"""),
 }
+# Forms that must give what others give.
+ORACLES |= {name: ORACLES[like] for name, like in (
+    ("dim_product_scd2_batches", "dim_product_scd2"), ("penetration_sketch", "penetration"),
+    ("regional_cube_stored", "regional_cube"))}

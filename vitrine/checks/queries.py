@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vitrine.checks import fixtures as fx
 from vitrine.functions.keys import shown
 from vitrine.functions.money import price_amount
-from vitrine.operators import crawl, currency, customers, dates, devices, facts, history, merge, option_dims
-from vitrine.operators import pages, products, quality, timeline
+from vitrine.operators import crawl, currency, customers, dates, device_sketches, devices, facts, history
+from vitrine.operators import history_store, merge, option_dims, pages, products, quality, rollups, timeline
+from vitrine.operators.frequent import heavy_from_summaries
 from vitrine.operators.mergeable import TABLES, needed_fields
 from vitrine.operators.parse import parse_events
 from vitrine.plans import engagement, geography, technology, traffic
@@ -52,11 +53,8 @@ def load_fact(spark: SparkSession, sf_dir: str) -> str:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored fact table, loaded once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        _stored[key] = load_fact(spark, sf_dir)
-    return spark.read.parquet(_stored[key])
+    """The stored fact table."""
+    return spark.read.parquet(loaded(spark, sf_dir, load_fact))
 
 
 def load_timeline(spark: SparkSession, sf_dir: str) -> str:
@@ -66,12 +64,37 @@ def load_timeline(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All views with their duration, from the timeline loaded once per session and data set."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir} timeline")
+def loaded(spark: SparkSession, sf_dir: str, load) -> str:
+    """Where `load` has stored something, done once per session and data set."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} {load.__name__}")
     if key not in _stored:
-        _stored[key] = load_timeline(spark, sf_dir)
-    return timeline.timeline_views(timeline.read_timeline(spark, _stored[key]))
+        _stored[key] = load(spark, sf_dir)
+    return _stored[key]
+
+
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All views with their duration, from the stored timeline."""
+    return timeline.timeline_views(timeline.read_timeline(spark, loaded(spark, sf_dir, load_timeline)))
+
+
+def heavy_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices with much of all events, from the summaries stored beside the timeline."""
+    return heavy_from_summaries(timeline.read_key_summary(spark, loaded(spark, sf_dir, load_timeline)), "device_id")
+
+
+def load_sketches(spark: SparkSession, sf_dir: str) -> str:
+    """Store the device sketches of every date, country and store."""
+    path = work_dir(spark, "sketches")
+    device_sketches.write_device_sketches(fact(spark, sf_dir), path)
+    return path
+
+
+def load_rollups(spark: SparkSession, sf_dir: str) -> str:
+    """Store the lattice of counts, loaded in two parts."""
+    root = work_dir(spark, "rollups")
+    for n in (0, 1):
+        rollups.add_counts(fact(spark, sf_dir).where(F.col("date_id") % 2 == n), root, n, "load")
+    return root
 
 
 # Dimensions that facts refer to by surrogate key, and the natural keys these stand for.
@@ -92,11 +115,9 @@ def load_dims(spark: SparkSession, sf_dir: str) -> str:
 
 
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The stored dimensions by name, loaded once per session and data set."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir} dims")
-    if key not in _stored:
-        _stored[key] = load_dims(spark, sf_dir)
-    root, seen = _stored[key], log.snapshot(spark, _stored[key])
+    """The stored dimensions by name."""
+    root = loaded(spark, sf_dir, load_dims)
+    seen = log.snapshot(spark, root)
     return {name: upsert.read_current(spark, root, lambda rows: rows, name, seen) for name in seen.tables()}
 
 
@@ -222,6 +243,17 @@ def dim_product_scd2(spark, sf_dir):
                         millis("record_expired_date"), "is_current_record")
 
 
+@query
+def dim_product_scd2_batches(spark, sf_dir):
+    """The same history from two batches of versions that arrive out of order."""
+    root, versions = work_dir(spark, "history"), fx.product_versions(spark, sf_dir)
+    for n in range(2):
+        history_store.update_history(versions.where(F.pmod(F.hash("product_id", "seen_at"), F.lit(2)) == n), root, n, "load", buckets=8)
+    return history_store.read_history(spark, root).select(
+        "product_id", "product_name", "category", "raw_price", "price", "quality", "quality_label",
+        millis("record_created_date"), millis("record_expired_date"), "is_current_record")
+
+
 # --- pages and merge ----------------------------------------------------------------------
 
 @query
@@ -358,6 +390,29 @@ def penetration_approx(spark, sf_dir):
         "country_code", "devices", (apart <= F.greatest(F.lit(1.0), 0.05 * F.col("devices"))).alias("within"))
 
 
+def sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(loaded(spark, sf_dir, load_sketches))
+
+
+@query
+def penetration_sketch(spark, sf_dir):
+    """Devices per country from stored sketches; exact for as many devices as these tables have."""
+    return device_sketches.device_penetration(sketches(spark, sf_dir))
+
+
+@query
+def country_overlap(spark, sf_dir):
+    """Devices seen in both countries of a pair, from stored sketches."""
+    return device_sketches.country_overlap(sketches(spark, sf_dir))
+
+
+@query
+def store_devices_period(spark, sf_dir):
+    """Devices per store over ten days, from stored sketches."""
+    some = sketches(spark, sf_dir).where(F.col("date_id").between(20240105, 20240114) & F.col("store_id").isNotNull())
+    return device_sketches.device_counts(some, ["country_code", "store_id"])
+
+
 @query
 def store_compare(spark, sf_dir):
     return geography.store_comparison(fact(spark, sf_dir))
@@ -373,6 +428,12 @@ def regional_cube(spark, sf_dir):
     return geography.regional_cube(fact(spark, sf_dir))
 
 
+@query
+def regional_cube_stored(spark, sf_dir):
+    """The same cube from stored counts."""
+    return rollups.cube_counts(spark, loaded(spark, sf_dir, load_rollups), ["country_code", "store_id", "collection"])
+
+
 @query
 def top_referrers(spark, sf_dir):
     return traffic.top_referrers(fact(spark, sf_dir))
@@ -385,7 +446,7 @@ def top_referrer_hosts(spark, sf_dir):
 
 @query
 def attribution(spark, sf_dir):
-    return traffic.attribution(fact(spark, sf_dir))
+    return traffic.attribution(fact(spark, sf_dir), heavy_devices(spark, sf_dir))
 
 
 @query

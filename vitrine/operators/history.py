@@ -11,7 +11,7 @@ from vitrine.schemas import DIM_PRODUCT_HISTORY
 TRACKED = ["product_name", "raw_price"]
 
 
-def product_history(versions: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def product_history(versions: DataFrame, heavy: DataFrame | bool | None = None) -> DataFrame:
     """versions(product_id, product_name, raw_price, seen_at) to validity intervals.
 
     A record starts where a tracked value differs from the one before and is valid until the next

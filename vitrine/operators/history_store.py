@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.operators.history import TRACKED, product_history
+from vitrine.operators.skew import heavy_keys
 from vitrine.streaming import log
 from vitrine.streaming.state import bucket_of, touched_buckets
 from vitrine.streaming.upsert import compact, is_done, read_current, stored_parts, write_tables
@@ -46,8 +47,14 @@ def update_history(versions: DataFrame, root: str, batch_id: int, run: str, buck
             # Products all of whose versions are known stay as they are.
             changed = new.select("product_id").distinct()
             whole = known.unionByName(new).join(changed, "product_id", "left_semi")
-        spans = _in_buckets(product_history(whole.select(COLUMNS)), buckets)
-        done = write_tables({VERSIONS: new, SPANS: spans}, root, batch_id, run)
+        # The history reads its versions several times, and seldom has a heavy product among them.
+        whole = whole.select(COLUMNS).persist()
+        try:
+            hot = heavy_keys(whole, "product_id")
+            spans = _in_buckets(product_history(whole, False if hot.isEmpty() else hot), buckets)
+            done = write_tables({VERSIONS: new, SPANS: spans}, root, batch_id, run)
+        finally:
+            whole.unpersist()
     finally:
         fresh.unpersist()
     if len(seen.deltas(VERSIONS)) + 1 >= compact_every:

@@ -54,17 +54,21 @@ def join_in_pieces(big: DataFrame, small: DataFrame, key: str, heavy: DataFrame,
 
 
 def neighbour(df: DataFrame, key: str, time: str, tie: list[str], values: dict[str, Column],
-              step: int = 1, into: str = "near", heavy: DataFrame | None = None,
+              step: int = 1, into: str = "near", heavy: DataFrame | bool | None = None,
               slice_seconds: int = 60) -> DataFrame:
     """Add a struct column `into`: `values` of the next (`step=1`) or previous (`step=-1`) row of
     the same key in (time, tie) order; NULL at the end.  Key and time must not be NULL.
 
     The same result as lead/lag over the key.  Rows of heavy keys are cut into time slices; the
     first (last) row of each slice is handed to the slice before (after) it as a marker row, so a
-    plain window over (key, slice) sees its true neighbour.
+    plain window over (key, slice) sees its true neighbour.  `heavy=False` says that no key is heavy, which
+    is the plain window.
     """
     if step not in (1, -1):
         raise ValueError("step is 1 or -1")
+    if heavy is False:
+        near = (F.lead if step == 1 else F.lag)(F.struct(*[c.alias(name) for name, c in values.items()]))
+        return df.withColumn(into, near.over(Window.partitionBy(key).orderBy(time, *tie)))
     heavy = heavy_keys(df, key) if heavy is None else heavy
     cut = F.floor(F.unix_seconds(F.col(time)) / slice_seconds)
     row = F.struct(*[c.alias(name) for name, c in values.items()])

@@ -19,12 +19,14 @@ def top_referrers(fact: DataFrame, k: int = 5, by: str = "referrer_url") -> Data
             .agg(rows().alias("events")).orderBy(F.desc("events"), "referrer").limit(k))
 
 
-def touches(fact: DataFrame, share: float = SHARE, floor: int = FLOOR) -> DataFrame:
+def touches(fact: DataFrame, share: float = SHARE, floor: int = FLOOR, heavy: DataFrame | None = None) -> DataFrame:
     """Per buying device: first and last referrer at or before its first purchase ("direct" when
     there is none).
 
     One pass gives each device its first purchase and its number of touches; the touches of a very
-    busy device are cut into pieces for the join, and the aggregation combines on the map side.
+    busy device are cut into pieces for the join, and the aggregation combines on the map side.  `heavy`
+    (device_id, _pieces) names the busy devices, as stored summaries do (`frequent`); without it the
+    touches of buyers are counted for that.
     """
     known = fact.where(F.col("device_id").isNotNull() & F.col("time_stamp").isNotNull())
     buyers = (
@@ -33,7 +35,7 @@ def touches(fact: DataFrame, share: float = SHARE, floor: int = FLOOR) -> DataFr
              F.count("referrer_url").alias("n"))
         .where(F.col("bought_at").isNotNull())
     )
-    heavy = heavy_from_counts(buyers, "device_id", "n", share, floor)
+    heavy = heavy_from_counts(buyers, "device_id", "n", share, floor) if heavy is None else heavy
     seen = (known.where(F.col("referrer_url").isNotNull())
             .select("device_id", "time_stamp", "event_id", "referrer_url"))
     before = join_in_pieces(seen, buyers.select("device_id", "bought_at"), "device_id", heavy,
@@ -47,12 +49,12 @@ def touches(fact: DataFrame, share: float = SHARE, floor: int = FLOOR) -> DataFr
     )
 
 
-def attribution(fact: DataFrame) -> DataFrame:
+def attribution(fact: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Conversions credited to each referrer under the first-touch and the last-touch model."""
     credit = F.inline(F.array(
         F.struct(F.lit("first").alias("model"), F.col("first_touch").alias("referrer")),
         F.struct(F.lit("last").alias("model"), F.col("last_touch").alias("referrer"))))
-    return touches(fact).select(credit).groupBy("model", "referrer").agg(rows().alias("conversions"))
+    return touches(fact, heavy=heavy).select(credit).groupBy("model", "referrer").agg(rows().alias("conversions"))
 
 
 def campaign_effect(fact: DataFrame) -> DataFrame:
