@@ -364,6 +364,16 @@ def test_neighbours_of_nothing(spark):
     assert permutation_index.nearest(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_nearest_of_any_id(spark):
+    """Ids at the ends of the range are candidates like others; rows without one take no part."""
+    ids = [-(1 << 63), -4611686018427387909, -20, None, 20, (1 << 63) - 1]
+    rows = [(i, [1.0, float(n)], "a") for n, i in enumerate(ids)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = [tuple(r) for r in permutation_index.nearest(frame).where("query_id = 20").orderBy("rank").collect()]
+    assert got == [(20, n + 1, i, 1.0 + 4.0 * x) for n, (x, i) in enumerate(
+        sorted(((x, i) for x, i in enumerate(ids) if i not in (None, 20)), key=lambda p: -p[0]))]
+
+
 # --- repeated substrings -------------------------------------------------------------------
 
 def brute_repeats(texts, length):

@@ -19,7 +19,8 @@ shorter than `least` is reranked whole, so small tables are answered exactly by
 
 Defined cases: vectors null, empty, zero or with null or non-finite components take no part;
 vectors of a length other than the commonest are compared with those of their own length exactly;
-ties go to the smaller id; rows that repeat an id are one candidate with their best score.
+ties go to the smaller id; rows that repeat an id are one candidate with their best score.  Rows without an
+id cannot be named in an answer and take no part; any other id does, however small.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
             probed: int = 24, share: float = 0.2, least: int = 512, sample_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id and score of the `k` nearest rows of each row with vec_id % every = 0."""
     spark = vectors.sparkSession
-    rows = stored(clean(vectors, []).where(F.col("id") > -(1 << 62)), "ann-vectors")
+    rows = stored(clean(vectors.where(F.col("vec_id").isNotNull()), []), "ann-vectors")
     distinct = stored(merged(rows, k + 1), "ann-distinct")
     total = distinct.count()
     longest = float(rows.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v))).first()[0] or 0) ** 0.5
