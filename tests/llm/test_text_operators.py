@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vitrine.llm import language_id, lm_score, mixing, sentencepiece_sampling as sp, wavelet
 from vitrine.llm.common import TOKENIZERS, components
@@ -170,6 +171,10 @@ def test_languages_odd_rows(odd, nothing):
     assert all(r.lang_pred == "und" and r.score == 0 and r.rejected for r in got if r.doc_id in (0, 1, 2))
     assert language_id.identify(nothing).count() == 0
     assert language_id.drop_rejected(odd).columns == odd.columns
+    clash = odd.withColumns({c: F.lit(f"own {c}") for c in ("rejected", "score", "lang_pred", "copies")})
+    kept = language_id.drop_rejected(clash)
+    assert kept.columns == clash.columns and {r.rejected for r in kept.collect()} <= {"own rejected"}
+    assert kept.count() == language_id.drop_rejected(odd).count()
 
 
 def test_long_texts_are_read_in_pieces(monkeypatch):

@@ -177,5 +177,6 @@ def identify(documents: DataFrame) -> DataFrame:
 
 def drop_rejected(documents: DataFrame) -> DataFrame:
     """The documents whose language is told with enough certainty, with their own columns."""
-    names = documents.columns
-    return predict(documents, train(documents), names).where(~F.col("rejected")).select(*names)
+    # The row travels as one value, so that no column of its own meets one of the prediction's.
+    rows = documents.select(F.struct(*documents.columns).alias("__row"), "text")
+    return predict(rows, train(documents), ["__row"]).where(~F.col("rejected")).select("__row.*")
