@@ -6,6 +6,7 @@ import math
 import os
 from collections.abc import Callable, Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,7 @@ from vitrine.session import work_dir
 WORD = r"[^\x20\x09-\x0D]+"
 NO_ID = -(1 << 63)
 # Vocabulary files of public tokenizers lie outside the repository.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+TOKENIZERS = os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
