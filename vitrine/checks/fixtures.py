@@ -48,14 +48,16 @@ def clicks_sql(duck: bool) -> str:
     diamond = f"concat('d', CAST({number} % 7 AS STRING))"
     alloy = f"CASE WHEN {number} % 4 = 0 THEN '' ELSE concat('a', CAST({number} % 4 AS STRING)) END"
 
-    def entry(label: str, value: str) -> str:
+    def entry(label: str, value: str, more: str = "''") -> str:
         parts = {"option_label": f"'{label}'", "option_id": value,
-                 "value_label": f"concat('{label} ', {value})", "value_id": f"concat('v', {value})"}
+                 "value_label": f"concat('{label} ', {value}, {more})", "value_id": f"concat('v', {value})"}
         if duck:
             return "{" + ", ".join(f"'{n}': {v}" for n, v in parts.items()) + "}"
         return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in parts.items()) + ")"
 
-    both = f"{entry('diamond', diamond)}, {entry('alloy', alloy)}"
+    # One alloy id goes by several values.
+    shade = f"CASE WHEN {number} % 3 = 0 THEN ' dark' ELSE '' END"
+    both = f"{entry('diamond', diamond)}, {entry('alloy', alloy, shade)}"
     if duck:
         none, full = "[]", f"[{both}]"
     else:
@@ -90,7 +92,8 @@ SELECT concat('e', CAST(e.event_id AS STRING)) AS _id,
  CASE WHEN e.user_id % 4 = 0 THEN '' ELSE concat('u', CAST(e.user_id AS STRING), '@example.com') END AS email_address,
  CASE WHEN e.event_type = 'view' THEN 'view_product_detail' ELSE e.event_type END AS collection,
  {k} AS product_id,
- CASE WHEN e.event_id % 5 = 0 THEN {none} WHEN e.event_id % 5 = 1 THEN NULL ELSE {full} END AS option,
+ CASE WHEN e.event_type = 'error' THEN NULL WHEN e.event_id % 5 = 0 THEN {none} WHEN e.event_id % 5 = 1 THEN NULL
+  ELSE {full} END AS option,
  CAST(e.event_id AS STRING) AS id,
  {currency} AS currency
 FROM (SELECT *, {k_of} AS k FROM {{events}}) e LEFT JOIN {{customer}} c ON c.c_custkey = e.user_id"""
@@ -103,12 +106,17 @@ SELECT p.page_id,
   WHEN 2 THEN 'ae' WHEN 3 THEN 'uk' ELSE 'com' END, '/item-', CAST(p.page_id AS STRING), '.html') AS url,
  replace(replace(p.html, '<head>', concat('<head>', CASE CAST(p.page_id % 4 AS INT)
   WHEN 0 THEN concat('<script type="application/ld+json">{"@type":"Product","name":"Ring ', CAST(p.page_id AS STRING),
-   ' - SHOP","description":"Fine  ring","offers":{"price":"', CAST(p.page_id + 1 AS STRING), '.50","priceCurrency":"EUR"}}</script>')
+   ' - SHOP","description":"Fine  ring","offers":{"price":"', CAST(p.page_id + 1 AS STRING),
+   CASE WHEN p.page_id % 8 = 4 THEN '.500' ELSE '.50' END, '","priceCurrency":"EUR"}}</script>')
   WHEN 1 THEN '<script type="application/ld+json">{bad json</script><meta property="og:title" content="OG Ring | SHOP.de"><meta content="Meta  text" name="description">'
   WHEN 3 THEN concat('<title> Ring  ', CAST(p.page_id AS STRING), ' | SHOP.de</title>')
   ELSE '' END)), '<body>', concat('<body>', CASE CAST(p.page_id % 4 AS INT)
-  WHEN 2 THEN concat('<h1>Head  ', CAST(p.page_id AS STRING), '</h1><span class="big price">EUR <b>', CAST(p.page_id AS STRING), '</b></span>')
-  WHEN 3 THEN concat('<div class="product-description">Fine <b>ring</b> box</div><div data-price="1">', CAST(p.page_id AS STRING), ',50 $</div>')
+  WHEN 2 THEN concat('<h1>Head  ', CAST(p.page_id AS STRING), '</h1><span class="big price">',
+   CASE CAST(p.page_id % 16 AS INT) WHEN 6 THEN '-' WHEN 10 THEN 'KWD ' WHEN 14 THEN 'VND ' ELSE 'EUR ' END, '<b>',
+   CAST(p.page_id AS STRING), '</b>', CASE CAST(p.page_id % 16 AS INT) WHEN 6 THEN ',25 €' WHEN 10 THEN '.500' WHEN 14 THEN '.500' ELSE '' END,
+   '</span>')
+  WHEN 3 THEN concat('<div class="product-description">Fine <b>ring</b> box</div><div data-price="1">',
+   CASE WHEN p.page_id % 16 = 7 THEN '0,999 €' ELSE concat(CAST(p.page_id AS STRING), ',50 $') END, '</div>')
   ELSE '' END)) AS html
 FROM {pages} p"""
 
@@ -159,9 +167,18 @@ def clicks(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) ->
                customer=table(spark, sf_dir, "customer"))
 
 
+def as_sent(rows: DataFrame) -> DataFrame:
+    """Clicks as JSON text, with times in the forms that producers send: ISO text, and milliseconds or
+    microseconds since 1970."""
+    form, at = F.col("id").cast("bigint") % 4, F.col("time_stamp")
+    text = (F.when(form == 1, F.unix_millis(at).cast("string")).when(form == 2, F.unix_micros(at).cast("string"))
+            .otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")))
+    return to_json_lines(rows.withColumn("time_stamp", text))
+
+
 def click_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clicks as JSON text, which is what producers send."""
-    return to_json_lines(clicks(spark, sf_dir))
+    return as_sent(clicks(spark, sf_dir))
 
 
 def click_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
@@ -173,7 +190,7 @@ def click_stream(spark: SparkSession, sf_dir: str, files: int | None = None) ->
     if files:
         path, reader = work_dir(spark, "events"), reader.option("maxFilesPerTrigger", 1)
         events.repartition(files, F.hash("event_id")).write.parquet(path)
-    return to_json_lines(clicks(spark, sf_dir, reader.schema(events.schema).parquet(path)))
+    return as_sent(clicks(spark, sf_dir, reader.schema(events.schema).parquet(path)))
 
 
 def crawl_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:

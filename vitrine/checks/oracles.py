@@ -182,7 +182,10 @@ SELECT url AS current_url, count(*)::INTEGER AS attempts, CASE WHEN max(fetched)
   THEN max(fetched) FILTER (WHERE failed) + 3600000 * (1 << (count(*) - 1)) END AS due_at
 FROM rounds GROUP BY url"""
 
-AMOUNT = ("CAST(replace(regexp_extract(price, '[0-9]+(?:[.,][0-9]+)?'), ',', '.') AS DECIMAL(18,3))")
+# A single mark is the decimal mark, but for a group of three in a currency of whole units.
+NUMBER = "regexp_extract(price, '-?[0-9]+(?:[.,][0-9]+)?')"
+AMOUNT = (f"CAST(CASE WHEN regexp_matches(price, '^VND [1-9][0-9]{{0,2}}[.][0-9]{{3}}$') THEN replace({NUMBER}, '.', '') "
+          f"ELSE replace({NUMBER}, ',', '.') END AS DECIMAL(18,3))")
 
 # --- durations ---
 
@@ -307,14 +310,14 @@ JOIN (SELECT d.product_id, x.* FROM (SELECT product_id, current_url, max(time_st
  JOIN info x ON d.current_url = x.current_url
  QUALIFY row_number() OVER (PARTITION BY d.product_id ORDER BY x.product_name <> 'N/A' DESC, d.seen DESC, d.current_url DESC) = 1) i
  ON p.product_id = i.product_id
-WHERE p.product_id NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)""", product=DIM_PRODUCT),
+WHERE p.product_id NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 2 = 0)""", product=DIM_PRODUCT),
     "price_decimal": with_info(f"""
 SELECT current_url, price, CASE WHEN price <> 'N/A' THEN {AMOUNT} END AS amount FROM info"""),
     "amount_usd": with_info(f"""
 SELECT current_url, price, amount, currency_code,
  CAST(amount * usd_exchange_rate AS DECIMAL(28,6)) AS amount_usd
 FROM (SELECT current_url, price, CASE WHEN price <> 'N/A' THEN {AMOUNT} END AS amount,
- CASE WHEN price <> 'N/A' THEN trim(regexp_replace(price, '[0-9][0-9.,]*', '')) END AS raw FROM info) i
+ CASE WHEN price <> 'N/A' THEN trim(regexp_replace(price, '-?[0-9][0-9.,]*', '')) END AS raw FROM info) i
 LEFT JOIN best b ON i.raw = b.k""", best=BEST),
     "top_products": facts("""
 SELECT product_id, count(*) AS views FROM fact WHERE collection = 'view_product_detail'
