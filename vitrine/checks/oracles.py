@@ -468,4 +468,4 @@ GROUP BY device_id, n"""),
 # Forms that must give what others give.
 ORACLES |= {name: ORACLES[like] for name, like in (
     ("dim_product_scd2_batches", "dim_product_scd2"), ("penetration_sketch", "penetration"),
-    ("regional_cube_stored", "regional_cube"))}
+    ("regional_cube_stored", "regional_cube"), ("product_final_rounds", "product_final"))}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vitrine.checks import fixtures as fx
 from vitrine.functions.keys import shown
 from vitrine.functions.money import price_amount
-from vitrine.operators import crawl, currency, customers, dates, device_sketches, devices, facts, history
+from vitrine.operators import crawl, currency, customers, dates, delta_join, device_sketches, devices, facts, history
 from vitrine.operators import history_store, merge, option_dims, pages, products, quality, rollups, timeline
 from vitrine.operators.frequent import heavy_from_summaries
 from vitrine.operators.mergeable import TABLES, needed_fields
@@ -320,6 +320,20 @@ def product_final(spark, sf_dir):
                                      info(spark, sf_dir))
 
 
+@query
+def product_final_rounds(spark, sf_dir):
+    """The same merge in two rounds, each bringing some products, pages and details."""
+    root, fetched = work_dir(spark, "merge"), fx.product_pages(spark, sf_dir)
+    known = dims(spark, sf_dir)["dim_product"].drop("product_key")
+    seen = fact(spark, sf_dir).select("product_id", "current_url").distinct()
+    for n in range(2):
+        new, pairs, read = (rows.where(F.pmod(F.hash(key), F.lit(2)) == n)
+                            for rows, key in ((known, "collection"), (seen, "product_id"), (fetched, "url")))
+        details = pages.extract_product_info(read, suffixes=SHOP_SUFFIXES)
+        delta_join.merge_round(new, pairs, details, root, n, "rounds", buckets=8)
+    return delta_join.read_merged(spark, root)
+
+
 @query
 def product_final_latest(spark, sf_dir):
     """One row per product; the products that an even supplier key names count as merged already."""
