@@ -36,3 +36,13 @@ def test_pipeline_runs_on_odd_rows(spark, odd, nothing):
         for name, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, SF), f"odd-{name}")
         assert "ids" in docs.columns
+
+
+def test_the_last_stage_searches_for_a_second_segmentation(spark):
+    docs = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog"), (2, "")], "doc_id long, text string")
+    rows = corpus_pipeline.encode_and_decode(spark, docs, SF).collect()
+    long = [r for r in rows if r.doc_id == 1]
+    assert sorted(r["sample"] for r in long) == [1, 2] and len({tuple(r.ids) for r in long}) == 2
+    assert {r.text for r in long} == {"the quick brown fox jumps over the lazy dog"}
+    # The threshold of the search makes inclusion scores; without a search all were 1.
+    assert all(0 < r.inclusion < 1 for r in long) and [r.text for r in rows if r.doc_id == 2] == [""]
