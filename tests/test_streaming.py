@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows_of
+from tests.conftest import SF, rows_of
+from vitrine.checks import fixtures as fx
 from vitrine.operators.mergeable import TABLES
 from vitrine.operators.parse import parse_events
 from vitrine.operators.products import build_dim_product
@@ -376,3 +377,12 @@ def test_hot_device_is_many_tasks(spark, restless):
     assert windows and all("block" in x for x in windows)
     blocks = restless.where("device_id = 'hot'").select(F.floor(F.unix_seconds("time_stamp") / 1800 / 48).alias("b"))
     assert blocks.distinct().count() >= 26
+
+
+def test_each_batch_of_a_dealt_stream_is_read_by_several_tasks(spark, tmp_path):
+    seen = []
+    stream = fx.click_stream(spark, SF, batches=2)
+    sinks.start_stream(stream, lambda batch, n: seen.append((batch.rdd.getNumPartitions(), batch.count())),
+                       str(tmp_path / "c"), every=None).awaitTermination()
+    assert len(seen) == 2 and all(tasks > 1 for tasks, _ in seen)
+    assert sum(rows for _, rows in seen) == fx.table(spark, SF, "events").count()
