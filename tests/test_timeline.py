@@ -111,6 +111,24 @@ def test_merged_summaries_find_every_heavy_key(spark, days, tmp_path, share):
     assert most <= 4 / share
 
 
+def test_keys_are_not_counted_in_one_task(spark, tmp_path):
+    """The stage that joins counts to bounds and filters them has a task for each shuffle partition."""
+    rows = spark.range(4000).selectExpr("int(id % 4) AS date_id", "string(id) AS a")
+    setting, sc = "spark.sql.adaptive.coalescePartitions.enabled", spark.sparkContext
+    kept = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    sc.setJobGroup("frequent", "one write")
+    try:
+        frequent.write_frequent_keys(rows, ["a"], str(tmp_path / "k"))
+    finally:
+        spark.conf.set(setting, kept)
+        sc.setJobGroup("", "")
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("frequent") for s in tracker.getJobInfo(j).stageIds]
+    assert tracker.getStageInfo(max(stages)).numTasks > 1
+    assert spark.read.parquet(str(tmp_path / "k")).where("key IS NOT NULL").count() == 4000
+
+
 def test_heavy_devices_of_dates(spark, fact):
     found = frequent.frequent_keys(fact, ["device_id"])
     got = timeline.heavy_devices(found, 0.1, 10)
