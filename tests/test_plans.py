@@ -37,6 +37,12 @@ def test_each_text_is_parsed_once_with_a_narrow_schema(lines):
     assert plan(build_dim_prd(lines).select("product_id")).count("from_json(") == 1
 
 
+def test_the_country_of_an_event_is_found_once(lines):
+    facts = build_fact_event(lines, ["store_id", "country_code", "store_key"])
+    project = [line for line in plan(facts).splitlines() if "md5(" in line]
+    assert project and "regexp_extract" not in project[0]
+
+
 def test_analytics_read_only_their_columns_of_the_stored_fact(spark):
     text = plan(top_products(q.fact(spark, SF)))
     scan = text[text.index("ReadSchema"):].splitlines()[0]
