@@ -277,6 +277,19 @@ def test_vector_links_match_brute_force(request, monkeypatch, which, cell_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_visitors_of_a_cell_are_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 10)
+    rows = [("l", [1.0], i, 1, [0, 1] if i < 3 else [1, 0]) for i in range(3 + 50)] + [("l", [1.0], 60, 1, [2, 5])]
+    placed = spark.createDataFrame(rows, "label string, embedding array<double>, node long, n long, cells array<int>")
+    dealt = embedding_dedup.deal(placed).collect()
+    blocks = {c: {r.own for r in dealt if r.cell == c and r.home == c} for c in (0, 1, 2)}
+    assert all(r.i in blocks[r.cell] and r.own in (r.i, r.j) for r in dealt)
+    # Cell 0: three rows at home with five blocks of visitors; cell 1 the other way round; cell 5 has no home.
+    assert sum(r.cell == 0 for r in dealt) == 3 * 6 + 50
+    assert sum(r.cell == 1 for r in dealt) == 50 * 6 + 3 * 5
+    assert {r.cell for r in dealt} == {0, 1, 2}
+
+
 def test_default_reach_finds_the_links(crowd):
     frame = crowd.where("vec_id is not null")
     found = sum(r.n_links for r in embedding_dedup.near_duplicates(frame, cell_rows=100).collect())

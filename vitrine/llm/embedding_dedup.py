@@ -9,8 +9,9 @@ bound that is searched; 1.0 is exact, the default of one half loses a pair only
 difference points straight along the line between two centres, which in d dimensions it does with a
 spread of 1/sqrt(d).
 
-A cell is cut into blocks of bounded size and each pair of blocks is one group of work, so a cell with
-a third of all vectors is many groups.  A group returns per vector the number of vectors it links with and
+A cell is cut into blocks of bounded size, rows at home and visitors apart, and each pair of blocks of which
+one is at home is one group of work, so a cell with a third of all vectors is many groups, and its visitors,
+which are most of its rows, never meet one another there.  A group returns per vector the number of vectors it links with and
 links that connect what is connected within the group, never all pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and
@@ -79,7 +80,12 @@ def connect(linked: np.ndarray, same: bool) -> list[tuple[int, int]]:
 def members(cells: list, homes: np.ndarray) -> np.ndarray:
     """Whether each row takes part in each of the given cells."""
     names, where = np.unique(homes, return_inverse=True)
-    table = np.array([[int(h) in own for h in names] for own in map(set, cells)], bool).reshape(len(cells), -1)
+    flat = np.concatenate([np.asarray(own, np.int64) for own in cells])
+    row = np.repeat(np.arange(len(cells)), [len(own) for own in cells])
+    place = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+    table = np.zeros((len(cells), len(names)), bool)
+    some = names[place] == flat
+    table[row[some], place[some]] = True
     return table[:, where]
 
 
@@ -118,6 +124,23 @@ def compare_blocks(group: pd.DataFrame, limit: float) -> pd.DataFrame:
     return pd.concat(out)
 
 
+def deal(placed: DataFrame) -> DataFrame:
+    """The rows of every pair of blocks (i, j) of a cell that is to be compared."""
+    at_cell = placed.withColumn("cell", F.explode("cells")).withColumn("home", F.element_at("cells", 1))
+    at_home = F.col("home") == F.col("cell")
+    sizes = at_cell.groupBy("label", "cell").agg(
+        F.ceil(F.count_if(at_home) / BLOCK).alias("homes"), F.ceil(F.count_if(~at_home) / BLOCK).alias("visits"))
+    # A row goes to every pair of blocks that its own block is in: blocks at home come first, and
+    # a pair without one is none.
+    own = F.when(at_home, F.pmod(F.xxhash64("node"), F.col("homes"))).otherwise(
+        F.col("homes") + F.pmod(F.xxhash64("node"), F.col("visits")))
+    others = F.when(at_home, F.col("homes") + F.col("visits")).otherwise(F.col("homes"))
+    return (at_cell.join(sizes, ["label", "cell"]).where("homes > 0").withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), others - 1)))
+            .select("label", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                    "own", "home", "cells", "node", "n", "embedding"))
+
+
 def near_duplicates(vectors: DataFrame, limit: float = 0.93, cell_rows: int = 1500, reach: float = 0.5,
                     sample_rows: int = 20_000) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
@@ -151,15 +174,7 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.93, cell_rows: int = 15
 
     placed = stored(distinct.mapInPandas(
         place, "label string, embedding array<double>, node long, n long, cells array<int>"), "placed")
-    at_cell = placed.withColumn("cell", F.explode("cells"))
-    sizes = at_cell.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    # A row goes to every pair of blocks that its own block is in.
-    dealt = (at_cell.join(sizes, ["label", "cell"])
-             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("label", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     "own", F.element_at("cells", 1).alias("home"), "cells", "node", "n", "embedding"))
-    found = stored(dealt.groupBy("label", "cell", "i", "j").applyInPandas(
+    found = stored(deal(placed).groupBy("label", "cell", "i", "j").applyInPandas(
         lambda group: compare_blocks(group, limit), "node long, links long, to long"), "vector-links")
     component = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")), "vector-components")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
