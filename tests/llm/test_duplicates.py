@@ -103,6 +103,30 @@ def test_ngram_join_odd_rows(odd, nothing):
     assert kept.columns == odd.columns and [r.doc_id for r in kept.collect()].count(3) == 1
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_parities_never_drop_a_link(spark, percent):
+    random, base = np.random.default_rng(5), np.arange(400, dtype=np.uint64) << np.uint64(40)
+    sets = [np.unique(np.concatenate([base[random.random(400) < keep], random.integers(0, 1 << 60, 9).astype(np.uint64)]))
+            for keep in np.linspace(0.6, 1, 40)]
+    rows = [(i, j, ngram_join.parities(a), ngram_join.parities(b), len(a), len(b), 100 * (both := len(np.intersect1d(a, b)))
+             >= percent * (len(a) + len(b) - both)) for i, a in enumerate(sets) for j, b in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "i int, j int, x array<bigint>, y array<bigint>, s long, t long, link boolean")
+    kept = frame.where(ngram_join.may_link("x", "y", "s", "t", percent)).collect()
+    assert sum(r.link for r in kept) == sum(r[-1] for r in rows) > 40
+    assert len(kept) < 0.6 * len(rows)
+
+
+def test_texts_that_only_share_parts_are_not_compared(spark, monkeypatch):
+    tested, compare = [], ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *rest: tested.append(pairs.count()) or compare(pairs, *rest))
+    random, base = np.random.default_rng(7), [f"w{i}" for i in range(200)]
+    texts = [[f"x{k}_{i}" if i in drop else w for i, w in enumerate(base)]
+             for k, drop in enumerate(random.choice(200, 12, replace=False) for _ in range(120))]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert all(r.component == r.id for r in ngram_join.join(docs).collect())
+    assert tested[-1] < 100
+
+
 def test_rows_without_ids_or_with_repeated_ones_are_apart(spark):
     words = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
     made = [(None, words[0]), (None, words[1]), (None, words[1] + " more"), (7, words[2]), (7, words[3]),

@@ -32,11 +32,15 @@ def _pairs(x: str, y: str) -> list:
 
 def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], label: str,
                 plausible: DataFrame | None = None,
-                condition: Callable[[str, str], F.Column] | None = None) -> tuple[DataFrame, DataFrame]:
+                condition: Callable[[str, str], F.Column] | None = None,
+                sketches: DataFrame | None = None,
+                similar: Callable[[str, str, str, str], F.Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """(component of each linked node, verified links a < b).
 
     `verify` keeps the linked ones of distinct pairs (a, b).  `plausible(node, size)` with
     `condition(size column of a, size column of b)` drops pairs that cannot link before they are built.
+    `sketches(node, bits)` with `similar(bits of a, bits of b, size of a, size of b)` does so in step 3, where
+    groups may have many pairs: there every member carries its sketch.
     """
     if plausible is not None:
         members = members.join(plausible, "node")
@@ -86,9 +90,16 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
         done, links = done.union(fresh), links.union(more)
     component = components(links, label)
     placed = placed.drop("c").join(component, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    left = placed.select("sig", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("size").alias("s"))
-    right = placed.select("sig", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("size").alias("t"))
+    more = []
+    if sketches is not None:
+        placed, more = placed.join(sketches, "node"), ["bits"]
+    left = placed.select("sig", F.col("node").alias("x"), F.col("c").alias("cx"), F.col("size").alias("s"),
+                         *[F.col(c).alias("bx") for c in more])
+    right = placed.select("sig", F.col("node").alias("y"), F.col("c").alias("cy"), F.col("size").alias("t"),
+                          *[F.col(c).alias("by") for c in more])
     rest = left.join(right, "sig").where(F.col("cx") < F.col("cy"))
+    if more:
+        rest = rest.where(similar("bx", "by", "s", "t"))
     rest = fits(rest).select(*_pairs("x", "y"), "s", "t").join(done, ["a", "b"], "left_anti")
     _, more = tested(rest)
     links = stored(links.union(more), label)
