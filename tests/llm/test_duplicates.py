@@ -471,3 +471,32 @@ def test_repeats_odd_rows(odd, nothing):
     want = collections.Counter(zip((r.doc_id for r in odd.collect()), brute_repeats((r.text for r in odd.collect()), 400)))
     assert collections.Counter((r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got) == want
     assert suffix_dedup.deduplicated(nothing).count() == 0
+
+
+def counted(monkeypatch, module):
+    """The numbers of pairs that the module's operator verifies."""
+    seen, real = [], module.verified
+
+    def verified(pairs, *args, **named):
+        seen.append(pairs.count())
+        return real(pairs, *args, **named)
+
+    monkeypatch.setattr(module, "verified", verified)
+    return seen
+
+
+def half_alike(n, common, own):
+    """Texts that share a part and have words of their own, and one more text near the first."""
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(common + n * own)]
+    texts = [" ".join(words[:common] + words[common + i * own:common + (i + 1) * own]) for i in range(n)]
+    return texts + [texts[0] + " x"]
+
+
+def test_unlike_sets_of_a_signature_are_not_verified(spark, monkeypatch):
+    texts = half_alike(60, 60, 20)
+    seen = counted(monkeypatch, ngram_join)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = ngram_join.one_of_each(frame).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(60))
+    assert 1 <= sum(seen) <= 10

@@ -11,8 +11,9 @@ nothing.  So pairs are tested in rounds:
    hub of all, and likewise the nodes that share least;
 3. all pairs that share a group, lie in different components and were not tested before.
 
-After step 3 each pair of nodes that shares a signature was tested or is connected, so the
-components are those of the full set of links.  All steps are joins and aggregations.
+After step 3 each pair of nodes that shares a signature was tested, told apart by a bound that never
+drops a link, or is connected, so the components are those of the full set of links.  All steps are
+joins and aggregations.
 """
 
 from __future__ import annotations
@@ -34,14 +35,17 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
                 plausible: DataFrame | None = None,
                 condition: Callable[[str, str], F.Column] | None = None,
                 sketches: DataFrame | None = None,
-                similar: Callable[[str, str, str, str], F.Column] | None = None) -> tuple[DataFrame, DataFrame]:
+                similar: Callable[[str, str, str, str], F.Column] | None = None,
+                rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(component of each linked node, verified links a < b).
 
     `verify` keeps the linked ones of distinct pairs (a, b).  `plausible(node, size)` with
     `condition(size column of a, size column of b)` drops pairs that cannot link before they are built.
-    `sketches(node, bits)` with `similar(bits of a, bits of b, size of a, size of b)` does so in step 3, where
-    groups may have many pairs: there every member carries its sketch.
+    `sketches(node, bits)` with `similar(bits of a, bits of b, size of a, size of b)` drops them before they are
+    verified; in step 3, where groups may have many pairs, every member carries its sketch, so that they are not
+    built.  `rounds` is how often step 2 is repeated at most.
     """
+    sized = sketches.join(plausible, "node") if sketches is not None else None
     if plausible is not None:
         members = members.join(plausible, "node")
     else:
@@ -56,8 +60,16 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
     def fits(pairs: DataFrame) -> DataFrame:
         return pairs.where(condition("s", "t")) if condition is not None else pairs
 
-    def tested(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        new = stored(fits(pairs).select("a", "b").distinct(), label)
+    def alike(pairs: DataFrame) -> DataFrame:
+        if sized is None:
+            return pairs
+        one = sized.select(F.col("node").alias("a"), F.col("bits").alias("bx"), F.col("size").alias("s"))
+        two = sized.select(F.col("node").alias("b"), F.col("bits").alias("by"), F.col("size").alias("t"))
+        return pairs.join(one, "a").join(two, "b").where(similar("bx", "by", "s", "t")).select("a", "b")
+
+    def tested(pairs: DataFrame, told: bool = False) -> tuple[DataFrame, DataFrame]:
+        new = fits(pairs).select("a", "b").distinct()
+        new = stored(new if told else alike(new), label)
         return new, stored(verify(new), label)
 
     # Step 1: each node against its group's hub.
@@ -65,7 +77,7 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
         "sig", F.col("h.node").alias("hub"), F.col("h.size").alias("t"))
     done, links = tested(members.withColumnRenamed("size", "s").join(hub, "sig").where("node <> hub")
                          .select(*_pairs("node", "hub"), "s", "t"))
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         component = components(links, label)
         placed = stored(members.join(component, "node", "left")
                         .withColumn("c", F.coalesce("component", "node")).drop("component"), label)
@@ -101,6 +113,6 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], la
     if more:
         rest = rest.where(similar("bx", "by", "s", "t"))
     rest = fits(rest).select(*_pairs("x", "y"), "s", "t").join(done, ["a", "b"], "left_anti")
-    _, more = tested(rest)
+    _, more = tested(rest, told=sketches is not None)
     links = stored(links.union(more), label)
     return components(links, label), links
