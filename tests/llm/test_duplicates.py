@@ -493,6 +493,14 @@ def half_alike(n, common, own):
     return texts + [texts[0] + " x"]
 
 
+def test_unlike_lines_of_a_band_are_not_verified(spark, monkeypatch):
+    texts = half_alike(80, 30, 12)
+    seen = counted(monkeypatch, line_dedup)
+    got = line_dedup.line_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.doc_id for r in got if r.removed] == [80]
+    assert 1 <= sum(seen) <= 80
+
+
 def test_unlike_sets_of_a_signature_are_not_verified(spark, monkeypatch):
     texts = half_alike(60, 60, 20)
     seen = counted(monkeypatch, ngram_join)
@@ -500,3 +508,11 @@ def test_unlike_sets_of_a_signature_are_not_verified(spark, monkeypatch):
     kept = ngram_join.one_of_each(frame).collect()
     assert sorted(r.doc_id for r in kept) == list(range(60))
     assert 1 <= sum(seen) <= 10
+
+
+def test_line_shingles_are_of_characters(spark):
+    lines = ["", "ab", "abcdefgh", "aébcd☃efghé", "éç " * 9, "\U0001f600 and more"]
+    frame = spark.createDataFrame([(t,) for t in lines], "line string")
+    got = [set(r.h) for r in frame.select(line_dedup.shingles("line", 8).alias("h")).collect()]
+    for t, hashes in zip(lines, got):
+        assert len(hashes) == len({t[i:i + 8] for i in range(max(1, len(t) - 7))})

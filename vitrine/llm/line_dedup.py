@@ -4,8 +4,8 @@ Lines are what line feeds separate.  Equal lines meet by hash.  Unlike ones are
 `shingle`-character substrings; a shorter line is one shingle.  A one-permutation MinHash deals the
 shingle hashes into bins and keeps the smallest of each: `bands` groups of `rows_` bins.  Lines that
 agree in a whole band are candidates: at a similarity of 0.8 a pair meets with 98.6 %, at 0.9
-with 99.98 %.  Candidates are verified by the exact Jaccard similarity of their shingle sets, a
-distributed union-find joins what is linked (`linking`, `common.components`), and of each component only
+with 99.98 %.  Candidates whose sizes and parities of shingles allow a link (a bound that never drops
+one) are verified by the exact Jaccard similarity of their shingle sets, a distributed union-find joins what is linked (`linking`, `common.components`), and of each component only
 the first line of the smallest document stays.
 
 Cost: signatures are made inside generated code from the shingles of a line's UTF-8 bytes, which are
@@ -24,10 +24,11 @@ in `without_repeats`; lines are named by 64-bit hashes; empty tables give no row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitrine.llm.common import NO_ID, row_id, stored
 from vitrine.llm.linking import link_groups
+from vitrine.llm.ngram_join import PARITY_WORDS, may_link
 
 
 def _documents(documents: DataFrame) -> DataFrame:
@@ -82,9 +83,28 @@ def band_members(signed: DataFrame, bands: int, rows_: int) -> DataFrame:
     return exploded.where("sig is not null").select("sig", "node")
 
 
+def shared_bands(members: DataFrame) -> DataFrame:
+    """(sig, node) of the bands that two or more lines have."""
+    return (members.withColumn("n", F.count("*").over(Window.partitionBy("sig")))
+            .where("n > 1").select("sig", "node"))
+
+
 def shingles(line: str, shingle: int) -> Column:
-    return F.when(F.length(line) < shingle, F.array(F.xxhash64(F.col(line)))).otherwise(F.array_distinct(F.transform(
-        F.regexp_extract_all(F.col(line), F.lit(f"(?s)(?=(.{{{shingle}}}))"), F.lit(1)), lambda g: F.xxhash64(g))))
+    # Four bytes a character, so that a shingle is cut out in constant time; an array of one holds them, because
+    # what stands inside a lambda itself is made again for every place.
+    places = F.sequence(F.lit(1), F.length(line) * 4 - (4 * shingle - 1), F.lit(4))
+    hashes = F.transform(F.array(F.encode(F.col(line), "UTF-32")), lambda raw: F.transform(
+        places, lambda i: F.xxhash64(F.substring(raw, i, F.lit(4 * shingle)))))
+    return F.when(F.length(line) < shingle, F.array(F.xxhash64(F.col(line)))).otherwise(F.array_distinct(hashes[0]))
+
+
+def sketched(texts: DataFrame, shingle: int) -> DataFrame:
+    """node, size (number of distinct shingles) and their parities, see `ngram_join.parities`, of every line."""
+    hashed = texts.select(F.col("name").alias("node"), F.explode(shingles("line", shingle)).alias("h"))
+    word = F.shiftright("h", 6).bitwiseAND(F.lit(PARITY_WORDS - 1))
+    return hashed.select("node", word.alias("w"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("v")).groupBy("node").agg(
+        F.count("*").alias("size"), F.array(*[F.coalesce(F.bit_xor(F.when(F.col("w") == i, F.col("v"))), F.lit(0).cast("long"))
+                                              for i in range(PARITY_WORDS)]).alias("bits"))
 
 
 def candidate_lines(names: DataFrame, documents: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -102,11 +122,14 @@ def candidate_lines(names: DataFrame, documents: DataFrame, firsts: DataFrame) -
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs of line names whose shingle sets reach the threshold."""
     # The shingles of a line are made once for a chunk of its partners.
-    size = pairs.groupBy("a").agg(F.ceil(F.count("*") / 50).alias("chunks"))
-    cut = pairs.join(size, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("chunks")))
+    chunks = F.ceil(F.count("*").over(Window.partitionBy("a")) / 50)
+    cut = pairs.withColumn("part", F.pmod(F.xxhash64("b"), chunks))
     others = (cut.join(texts.select(F.col("name").alias("b"), F.col("line").alias("y")), "b")
               .groupBy("a", "part").agg(F.collect_list(F.struct("b", "y")).alias("others")))
-    one = others.join(texts.select(F.col("name").alias("a"), F.col("line").alias("x")), "a")
+    # Only the texts of pairs are moved.
+    base = texts.select(F.col("name").alias("a"), F.col("line").alias("x")).join(
+        pairs.select("a").distinct(), "a", "left_semi")
+    one = others.join(base, "a")
     one = one.select("a", F.explode(F.array(shingles("x", shingle))).alias("x"), "others")
     two = one.select("a", "x", F.explode("others").alias("o")).select(
         "a", "x", "o.b", F.explode(F.array(shingles("o.y", shingle))).alias("y"))
@@ -122,14 +145,20 @@ def repeated_lines(documents: DataFrame, shingle: int = 8, percent: int = 80, ba
     occurrences = stored(lines.select("id", "mark", "pos", "name"), "line-names")
     firsts = stored(occurrences.groupBy("name").agg(F.min(F.struct("id", "mark", "pos")).alias("first"),
                                                     F.count("*").alias("n")), "line-firsts")
-    members = stored(band_members(signatures(lines, shingle, bands, rows_), bands, rows_), "line-bands")
-    shared = members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
-    members = stored(members.join(shared, "sig", "left_semi"), "shared-bands")
+    members = stored(shared_bands(band_members(signatures(lines, shingle, bands, rows_), bands, rows_)), "shared-bands")
     # The texts of candidates are fetched once for all rounds of verification.
     names = members.select(F.col("node").alias("name")).distinct()
     texts = stored(candidate_lines(names, documents, firsts), "candidate-lines")
-    component, _ = link_groups(
-        members, lambda pairs: verified(pairs, texts, shingle, percent), "line-links")
+    sketches = stored(sketched(texts, shingle), "line-sketches")
+
+    def near(s: str, t: str) -> Column:
+        return F.least(s, t) * 100 >= F.greatest(s, t) * percent
+
+    def apart(x: str, y: str, s: str, t: str) -> Column:
+        return may_link(x, y, s, t, percent)
+
+    component, _ = link_groups(members, lambda pairs: verified(pairs, texts, shingle, percent), "line-links",
+                               sketches.select("node", "size"), near, sketches.select("node", "bits"), apart, rounds=1)
     grouped = (firsts.join(component.withColumnRenamed("node", "name"), "name", "left")
                .withColumn("component", F.coalesce("component", "name")))
     several = (grouped.where((F.col("n") > 1) | (F.col("component") != F.col("name")))
