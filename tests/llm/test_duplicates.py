@@ -79,6 +79,29 @@ def test_postings_meet_for_every_linked_pair(percent):
                 assert np.intersect1d(bands.signatures(a), bands.signatures(b)).size
 
 
+def test_sets_without_common_shingles_share_no_postings():
+    """Segments that two sets leave empty are no reason to compare them."""
+    random = np.random.default_rng(12)
+    bands = ngram_join.Bands({1200: 1000}, 5000, 80)
+    sigs = [np.unique(bands.signatures(np.unique(random.integers(0, 1 << 62, size).astype(np.uint64))))
+            for size in random.integers(1120, 1380, 300)]
+    _, times = np.unique(np.concatenate(sigs), return_counts=True)
+    assert (times > 1).sum() <= 3
+
+
+def test_postings_meet_where_few_segments_are_filled():
+    """Sets that differ in fewer segments than are posted meet, however many of them are empty."""
+    random = np.random.default_rng(13)
+    bands = ngram_join.Bands({9: 5}, 9, 80)
+    for exact, zone in [(1, 1), (1, 4), (2, 5), (4, 6), (5, 5)]:
+        bands.plan = [(zone, zone, exact, 0)] * len(bands.plan)
+        for _ in range(400):
+            pool = random.integers(0, 1 << 62, 9).astype(np.uint64)
+            a, b = (pool[random.random(9) < random.random()] for _ in range(2))
+            if len(np.setxor1d(a, b)) < exact:
+                assert np.intersect1d(bands._postings(a, 2), bands._postings(b, 2)).size
+
+
 def test_allocations_keep_the_pigeonhole():
     used = set()
     for sets in (1, 1000, 10**9):

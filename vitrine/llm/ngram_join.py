@@ -9,6 +9,14 @@ sum(v_i + 1) >= H + 1, where v_i = -1 skips a segment, 0 posts its subset and 1
 all its one-deletion neighbours.  The allocation of a band is the cheapest by a cost of postings and
 expected chance matches; it depends on the counts of all sets.
 
+Subsets without elements agree in all sets that leave the same segment empty, so they are posted last: of
+the segments for E exact subsets there are a few more than E, and a set posts the first E of those that
+it fills, followed by empty ones only where it fills fewer.  If at most E - 1 of these segments
+differ, two sets still meet.  Where both fill E, take the one whose posted segments end first: one of
+them agrees, and the other one posts it too.  Where only one fills fewer, it posts all it fills, and a posted
+segment of the other that agrees is among them.  Where both fill fewer and none that they fill agrees, the at
+most E - 1 segments that either fills all differ, and the first segment beyond them is posted by both.
+
 Equal sets are merged first.  Postings are reduced before they are shuffled: a batch names the smallest
 set of each signature, packed in sorted runs, and keeps its other members beside it.  Components
 come from `linking`, whose candidates are verified exactly on the whole texts' shingles.  Of large groups only
@@ -94,6 +102,20 @@ def allocate(size: int, differ: int, sets: int, share: float = 0.02) -> tuple[in
     return best
 
 
+def spread(size: int, m: int, exact: int) -> int:
+    """How many segments to add to `m`, so that with those a set of `size` elements fills `exact` of the
+    exactly posted ones, by two standard deviations."""
+    more = 0
+    while exact and more < 3 * exact + 8:
+        zone, n = exact + more, m + more
+        one, two = (1 - 1 / n) ** size, max(0.0, 1 - 2 / n) ** size  # that a segment is empty, that two are
+        varies = zone * one * (1 - one) + zone * (zone - 1) * (two - one * one)
+        if zone * (1 - one) >= exact + 2 * max(varies, 0.0) ** 0.5:
+            break
+        more += max(1, exact // 64)
+    return more
+
+
 class Bands:
     def __init__(self, counts: dict[int, int], largest: int, percent: int) -> None:
         """`counts`: number of sets by size, which only steers the cost; `largest`: the largest size."""
@@ -105,8 +127,10 @@ class Bands:
         self.plan = []
         for b in range(len(self.starts)):
             hi = int(self.starts[b + 1]) - 1 if b + 1 < len(self.starts) else int(self.starts[b])
-            self.plan.append(allocate(int(self.starts[b]), hi * (100 - percent) // percent,
-                                      int(per[b] + per[b + 1])))
+            low = int(self.starts[b])
+            m, exact, loose = allocate(low, hi * (100 - percent) // percent, int(per[b] + per[b + 1]))
+            more = spread(low, m, exact)
+            self.plan.append((m + more, exact + more, exact, loose))
 
     def of(self, size: int) -> int:
         return int(np.searchsorted(self.starts, size, side="right")) - 1
@@ -122,16 +146,19 @@ class Bands:
         return np.concatenate(out)
 
     def _postings(self, shingles: np.ndarray, band: int) -> np.ndarray:
-        m, exact, loose = self.plan[band]
+        m, zone, exact, loose = self.plan[band]
         segment = (mixed(shingles ^ C3) % np.uint64(m)).astype(np.int64)
         value = mixed(shingles + C2)
         sums = np.zeros(m, np.uint64)
         np.add.at(sums, segment, value)
-        used = np.arange(exact + loose)
-        name = mixed(used.astype(np.uint64) * C1 + np.uint64(band * int(C2) + int(C3) & 0xFFFFFFFFFFFFFFFF))
-        out = [mixed(sums[used] ^ name)]
+        name = mixed(np.arange(zone + loose, dtype=np.uint64) * C1
+                     + np.uint64(band * int(C2) + int(C3) & 0xFFFFFFFFFFFFFFFF))
+        empty = np.bincount(segment, minlength=m)[:zone] == 0
+        used = np.argsort(empty, kind="stable")[:exact]
+        used = np.concatenate([used, np.arange(zone, zone + loose)])
+        out = [mixed(sums[used] ^ name[used])]
         if loose:
-            of = np.flatnonzero((segment >= exact) & (segment < exact + loose))
+            of = np.flatnonzero((segment >= zone) & (segment < zone + loose))
             out.append(mixed((sums[segment[of]] - value[of]) ^ name[segment[of]]))
         return np.concatenate(out)
 
