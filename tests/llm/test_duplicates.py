@@ -420,6 +420,36 @@ def test_neighbours_within_a_large_group_of_copies(spark):
     assert neighbour_hits(vector_frame(spark, x), x) >= 0.9
 
 
+def test_footrule_and_best_ids():
+    random = np.random.default_rng(8)
+    for pivots, kind in [(1, np.uint8), (128, np.uint8), (256, np.uint8), (300, np.uint16)]:
+        rank = np.argsort(random.random((70, pivots)), axis=1)
+        far = permutation_index.footrule(np.ascontiguousarray(rank.T.astype(kind)), rank[3].astype(kind))
+        assert far.tolist() == np.abs(rank - rank[3]).sum(1).tolist()
+    for count, names, scores in [(0, 9, 9), (5, 9, 9), (300, 5, 200), (300, 1000, 4), (300, 30, 1), (300, 1000, 1000)]:
+        ids, score = random.integers(0, names, count), random.integers(0, scores, count) / 2
+        most = {i: max(score[ids == i]) for i in set(ids.tolist())}
+        got = permutation_index.first(ids, score, 20)
+        assert [(-score[p], ids[p]) for p in got] == sorted((-s, i) for i, s in most.items())[:20]
+
+
+def test_posted_rows_are_stored_and_moved_seldom(spark, monkeypatch):
+    """A vector is stored once, not once for every file, and answers are those of blocks cut by themselves."""
+    kept, store = {}, permutation_index.stored
+    monkeypatch.setattr(permutation_index, "stored", lambda df, label: kept.setdefault(label, store(df, label)))
+    x = np.random.default_rng(9).normal(size=(3000, 8))
+    frame = vector_frame(spark, x)
+    answers = {}
+    for joined, queries in [(1, 16), (3, 64)]:
+        kept.clear()
+        for name, value in (("ROWS", 64), ("JOINED", joined), ("QUERIES", queries), ("BATCH", 100)):
+            monkeypatch.setattr(permutation_index, name, value)
+        found = permutation_index.nearest(frame, least=16)
+        answers[joined] = [(r.query_id, r.rank, r.vec_id) for r in found.orderBy("query_id", "rank").collect()]
+        assert kept["ann-index"].count() == 3000 and kept["ann-queries"].count() == 150
+    assert answers[1] == answers[3] and len(answers[1]) == 150 * 20
+
+
 def test_neighbours_of_nothing(spark):
     assert permutation_index.nearest(spark.createDataFrame([], VECTORS)).count() == 0
 

@@ -13,7 +13,7 @@ Nearness is the inner product.  Vectors are lifted by one coordinate that makes
 (queries by zero), after which the largest inner product is the nearest vector, as pivots assume.
 
 Pivots are `pivots` distinct vectors of a bounded sample, in random order; all rows are indexed.  Files are cut into blocks of bounded size and
-queries of a file into blocks as well; a pair of blocks is one group of work, so a pivot near
+queries of a file into blocks as well; some blocks of each are one group of work, so a pivot near
 to a third of all vectors is many groups.  Every group returns the `k` best per query.  A file
 shorter than `least` is reranked whole, so small tables are answered exactly by all their rows.
 
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vitrine.llm.common import pieces, row_id, stored
 from vitrine.llm.vectors import clean, matrix, sample
 
-ROWS, QUERIES = 4096, 512
+ROWS, JOINED, QUERIES = 4096, 4, 4096
+BATCH = 1024
 
 
 def orders(points: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,8 +48,23 @@ def orders(points: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def footrule(rank: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Footrule distance of one order to many: sum over pivots of the rank differences."""
-    return np.abs(rank - wanted[None, :]).sum(1, dtype=np.int32)
+    """Footrule distance of one order to many: sum over pivots of the rank differences.  `rank` has a row for each
+    pivot; ranks are unsigned, a byte each where there are at most 256 pivots."""
+    far = np.maximum(rank, wanted[:, None])
+    far -= np.minimum(rank, wanted[:, None])
+    return far.sum(0, dtype=np.uint16 if rank.itemsize == 1 else np.uint32)
+
+
+def first(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the `k` ids with the best scores, ties to the smaller id, each id with its best."""
+    some = np.arange(len(ids))
+    if len(ids) > 4 * k:
+        # All places up to a score; they are enough where they hold `k` ids.
+        top = np.flatnonzero(score >= np.partition(score, len(ids) - 2 * k)[len(ids) - 2 * k])
+        if len(np.unique(ids[top])) >= k:
+            some = top
+    best = some[np.lexsort((ids[some], -score[some]))]
+    return best[np.sort(np.unique(ids[best], return_index=True)[1])[:k]]
 
 
 def lift(points: np.ndarray, longest: float) -> np.ndarray:
@@ -56,11 +72,18 @@ def lift(points: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([points, rest[:, None]])
 
 
+def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of at most BATCH rows."""
+    for batch in batches:
+        for lo in range(0, len(batch), BATCH):
+            yield batch.iloc[lo:lo + BATCH].reset_index(drop=True)
+
+
 def merged(rows: DataFrame, most: int) -> DataFrame:
     """id, ids and embedding of every distinct vector: its smallest id and its `most` smallest ones.
     A batch names a vector once, so a hot one meets as one row per batch."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches):
             raw = [(np.asarray(e, dtype=float) + 0.0).tobytes() for e in batch["embedding"]]
             own = batch["id"].groupby(raw, sort=False)
             yield pd.DataFrame({"embedding": batch["embedding"].loc[own.head(1).index].tolist(),
@@ -86,11 +109,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
     found = found[np.random.default_rng(23).permutation(len(found))[:pivots]]
     found = lift(found, longest) if len(found) else np.zeros((0, 1))
     shared = spark.sparkContext.broadcast(found)
+    small = np.uint8 if len(found) <= 256 else np.uint16
 
     def post(files: int, query: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             p = shared.value
-            for batch in batches:
+            for batch in parts(batches):
                 size = np.array([len(e) for e in batch["embedding"]], int)
                 names = np.full(len(batch), None, object)
                 ranks = np.full(len(batch), None, object)
@@ -102,7 +126,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
                     at = np.flatnonzero(usual)
                     for i, row in enumerate(at):
                         names[row] = order[i, :files].tolist()
-                        ranks[row] = rank[i].astype(np.uint16).tobytes()
+                        ranks[row] = rank[i].astype(small).tobytes()
                 for row in np.flatnonzero(~usual):
                     names[row], ranks[row] = [-int(size[row])], b""  # a file for each other length
                 batch["files"], batch["ranks"] = names, ranks
@@ -110,46 +134,55 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, pivots: int = 128,
         return run
 
     schema = "id long, ids array<long>, embedding array<double>, files array<int>, ranks binary"
-    index = distinct.mapInPandas(post(posted, False), schema).withColumn("file", F.explode("files")).drop("files")
-    asked = (rows.where(F.col("id") % every == 0).select("id", F.array("id").alias("ids"), "embedding").mapInPandas(post(probed, True), schema)
-             .withColumn("file", F.explode("files")).drop("files"))
-    index, asked = stored(index, "ann-index"), stored(asked, "ann-queries")
-    cut = index.groupBy("file").agg(F.ceil(F.count("*") / ROWS).alias("blocks"))
-    cuts = (asked.groupBy("file").agg(F.ceil(F.count("*") / QUERIES).alias("asks"))
-            .join(cut, "file"))
+    index = stored(distinct.mapInPandas(post(posted, False), schema), "ann-index")
+    asked = stored(rows.where(F.col("id") % every == 0).select("id", F.array("id").alias("ids"), "embedding")
+                   .mapInPandas(post(probed, True), schema), "ann-queries")
+    # One row for each pivot and each other length; of the latter no table has more than the root of twice its numbers.
+    cut = index.select(F.explode("files").alias("file")).groupBy("file").agg(F.ceil(F.count("*") / ROWS).alias("blocks"))
+    cuts = (asked.select(F.explode("files").alias("file")).groupBy("file")
+            .agg(F.ceil(F.count("*") / QUERIES).alias("asks")).join(cut, "file")
+            .withColumn("groups", F.ceil(F.col("blocks") / JOINED)))
+    cuts = F.broadcast(stored(cuts, "ann-cuts"))
     spread = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-    posts = index.join(cuts, "file").select(
-        "file", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("i"), spread("asks").alias("j"),
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    posts = index.withColumn("file", F.explode("files")).join(cuts, "file").select(
+        "file", F.floor(block / JOINED).alias("i"), spread("asks").alias("j"), block.alias("block"),
         F.lit(False).alias("ask"), "id", "ids", "embedding", "ranks")
-    asks = asked.join(cuts, "file").select(
-        "file", spread("blocks").alias("i"), F.pmod(F.xxhash64("id"), F.col("asks")).alias("j"),
-        F.lit(True).alias("ask"), "id", "ids", "embedding", "ranks")
+    asks = asked.withColumn("file", F.explode("files")).join(cuts, "file").select(
+        "file", spread("groups").alias("i"), F.pmod(F.xxhash64("id"), F.col("asks")).alias("j"),
+        F.lit(-1).cast("long").alias("block"), F.lit(True).alias("ask"), "id", "ids", "embedding", "ranks")
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         q, d = group[group["ask"]], group[~group["ask"]]
         if not len(q) or not len(d):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        return pd.concat([ranked(q, own) for _, own in d.groupby("block")])
+
+    def ranked(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
+        """The `k` best of a block's rows per query."""
         x, ids = matrix(d["embedding"]), list(d["ids"])
         many = np.array([len(i) for i in ids])
         start, names = np.cumsum(many) - many, np.concatenate(ids)
-        exact = int(group["file"].iloc[0]) < 0
-        rank = None if exact else np.array([np.frombuffer(r, np.uint16) for r in d["ranks"]], np.int16)
-        out = []
+        exact = int(d["file"].iloc[0]) < 0
+        rank = None if exact else np.ascontiguousarray(np.array([np.frombuffer(r, small) for r in d["ranks"]]).T)
+        askers, answers, scores = [], [], []
         keep = len(d) if exact else max(least, int(share * len(d)))
         for name, e, r in zip(q["id"], q["embedding"], q["ranks"]):
             near = np.arange(len(d))
             if keep < len(d):
-                far = footrule(rank, np.frombuffer(r, np.uint16).astype(np.int16))
+                far = footrule(rank, np.frombuffer(r, small))
                 near = np.flatnonzero(far <= np.partition(far, keep - 1)[keep - 1])
             score, n = x[near] @ np.asarray(e, dtype=float), many[near]
             # Every vector stands for all its ids.
             at = np.repeat(start[near] - np.cumsum(n) + n, n) + np.arange(n.sum())
             own, score = names[at], np.repeat(score, n)
             own, score = own[own != name], score[own != name]
-            best = np.lexsort((own, -score))
-            best = best[np.sort(np.unique(own[best], return_index=True)[1])[:k]]
-            out.append(pd.DataFrame({"query_id": name, "vec_id": own[best], "score": score[best]}))
-        return pd.concat(out)
+            best = first(own, score, k)
+            askers.append(np.full(len(best), name, np.int64))
+            answers.append(own[best])
+            scores.append(score[best])
+        return pd.DataFrame({"query_id": np.concatenate(askers), "vec_id": np.concatenate(answers),
+                             "score": np.concatenate(scores)})
 
     found = posts.union(asks).groupBy("file", "i", "j").applyInPandas(
         search, "query_id long, vec_id long, score double")
